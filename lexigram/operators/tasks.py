@@ -13,20 +13,20 @@ TEXT_OPERATIONS = ("ToText", "ToHTML")
 def convert(tasks: DataFrame, pages: DataFrame) -> DataFrame:
     """``(client, op, url, status, result, error, content)``, one row per task.
 
-    Only the two text operations look a page up (by URL); the others fail on their own row without touching pages.
+    Only the two text operations look a page up (by URL); the others never enter the join.
     Bad tasks never stop the rest: each ends as ``done`` with an output key and content, or as ``error``.
     """
-    wanted = F.when(F.col("op").isin(*TEXT_OPERATIONS), F.col("url"))
-    stored = pages.select(F.col("url").alias("wanted"), "html")
-    found = tasks.withColumn("wanted", wanted).join(stored, "wanted", "left")
-    read = found.select("client", "op", "url", "wanted", html_to_text(F.col("html")).alias("text"))
+    readable = F.coalesce(F.col("op").isin(*TEXT_OPERATIONS) & F.col("url").isNotNull(), F.lit(False))
+    found = tasks.where(readable).join(pages.select("url", "html"), "url", "left")
+    read = found.select("client", "op", "url", html_to_text(F.col("html")).alias("text"))
+    other = tasks.where(~readable).select("client", "op", "url", F.lit(None).cast("string").alias("text"))
     error = (
         F.when(F.col("op") == "ToImage", "no page renderer for ToImage")
-        .when(F.col("wanted").isNull(), F.concat(F.lit("unknown operation "), F.coalesce("op", F.lit(""))))
-        .when(F.col("text").isNull(), F.concat(F.lit("not found: "), F.col("url")))
+        .when(F.coalesce(~F.col("op").isin(*TEXT_OPERATIONS), F.lit(True)), F.concat_ws(" ", F.lit("unknown operation"), "op"))
+        .when(F.col("text").isNull(), F.concat_ws(" ", F.lit("not found:"), "url"))
         .when(F.col("text") == "", "empty document")
     )
-    judged = read.withColumn("error", error)
+    judged = read.unionByName(other).withColumn("error", error)
     done = F.col("error").isNull()
     content = F.when(F.col("op") == "ToHTML", text_to_page(F.col("text"))).otherwise(F.col("text"))
     return judged.select(
@@ -41,9 +41,13 @@ def convert(tasks: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def client_progress(results: DataFrame, manifest: DataFrame) -> DataFrame:
-    """``(client, total, done, failed, complete)`` from finished tasks and the manifest; repeats count once."""
-    total = manifest.groupBy("client").agg(F.count(F.lit(1)).alias("total"))
-    finished = results.select("client", "op", "url", "status").dropDuplicates(["client", "op", "url"])
+    """``(client, total, done, failed, complete)`` from finished tasks and the manifest.
+
+    A task is its client, operation and URL: repeats count once, as done if any delivery was.
+    """
+    task = ["client", "op", "url"]
+    total = manifest.select(*task).distinct().groupBy("client").agg(F.count(F.lit(1)).alias("total"))
+    finished = results.groupBy(*task).agg(F.min("status").alias("status"))
     done = finished.groupBy("client").agg(
         F.count(F.lit(1)).alias("done"), F.count_if(F.col("status") == "error").alias("failed")
     )
