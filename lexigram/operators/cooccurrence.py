@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexigram.functions.association import association_columns
 from lexigram.functions.stem import stem_columns
 from lexigram.sources.dependency import feature_arcs
+from lexigram.sources.text import not_null
 
 
 def roots(parsed: DataFrame) -> DataFrame:
@@ -30,19 +31,23 @@ def features(parsed: DataFrame, stem: bool = False) -> DataFrame:
 def cooccurrence(parsed: DataFrame, stem: bool = False) -> DataFrame:
     """``(lexeme, feature, n, is_pair)``: all counts from one pass and one shuffle.
 
-    A line adds its total to the lexeme itself (feature null) and to each feature on its root. ``is_pair`` is an
+    A line adds its total to the lexeme itself (feature empty) and to each feature on its root. ``is_pair`` is an
     aggregate on purpose: filters on it stay above the shuffle, so every table cut from this one shares it.
     With ``stem`` words are pre-counted as written and stemmed afterwards, once per distinct combination.
     """
-    lexeme, total = F.col("head").alias("lexeme"), F.col("total").alias("n")
-    own = F.struct(lexeme, F.lit(None).cast("string").alias("word"), F.lit(None).cast("string").alias("dep"), total)
-    hung = F.transform(feature_arcs(), lambda a: F.struct(lexeme, a["word"].alias("word"), a["dep"].alias("dep"), total))
+    lexeme, total, none = F.col("head").alias("lexeme"), F.col("total").alias("n"), F.lit("")
+    own = F.struct(lexeme, none.alias("word"), none.alias("dep"), total, F.lit(False).alias("pair"))
+    hung = F.transform(
+        feature_arcs(),
+        lambda a: F.struct(lexeme, a["word"].alias("word"), a["dep"].alias("dep"), total, F.lit(True).alias("pair")),
+    )
     rows = parsed.select(F.inline(F.when(F.col("reason").isNull(), F.concat(F.array(own), hung))))
     if stem:
-        rows = stem_columns(rows.groupBy("lexeme", "word", "dep").agg(F.sum("n").alias("n")), "lexeme", "word")
-    feature = F.when(F.col("word").isNotNull(), F.concat_ws("-", "word", "dep"))
+        counted = rows.groupBy("lexeme", "word", "dep").agg(F.sum("n").alias("n"), F.max("pair").alias("pair"))
+        rows = stem_columns(counted, "lexeme", "word")
+    feature = F.when(F.col("pair"), F.concat_ws("-", "word", "dep")).otherwise(none)
     return (
-        rows.select("lexeme", feature.alias("feature"), "n", F.col("word").isNotNull().alias("pair"))
+        rows.select(not_null("lexeme"), feature.alias("feature"), "n", "pair")
         .groupBy("lexeme", "feature")
         .agg(F.sum("n").alias("n"), F.max("pair").alias("is_pair"))
     )

@@ -16,7 +16,10 @@ def trigram_totals(rows: DataFrame, count: str = "match_count") -> DataFrame:
 
 
 def drop_stopwords(trigrams: DataFrame, stopwords: DataFrame) -> DataFrame:
-    """Keep trigrams none of whose words is in the list (column ``word``)."""
+    """Keep trigrams none of whose words is in the list (column ``word``).
+
+    A list hinted for broadcast filters in place; any other list is joined by shuffle.
+    """
     kept = trigrams
     for place in ("w1", "w2", "w3"):
         kept = kept.join(stopwords.select(F.col("word").alias(place)), place, "left_anti")

@@ -39,7 +39,7 @@ def pair_vectors(features: DataFrame) -> DataFrame:
 def vector_norms(vectors: DataFrame) -> DataFrame:
     """Per lexeme: size, and per measure the sum, the squared sum and the sums of positive and negative values."""
     zero = F.lit(0.0)
-    sums = [F.count(F.lit(1)).alias("size")]
+    sums = [F.count("feature").alias("size")]
     for m in MEASURES:
         a = F.col(f"a{m}")
         sums += [
@@ -104,7 +104,10 @@ def _shared(sized: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def pair_sums(vectors: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``(w1, w2, abs_1 .. js_4)``: the nine sums for each measure and pair; no row where neither word has a vector."""
+    """``(w1, w2, abs_1 .. js_4)``: the nine sums for each measure and pair; no row where neither word has a vector.
+
+    The vectors are read several times, so they should come from a written table.
+    """
     sized = _with_norms(pairs, vector_norms(vectors))
     shared = _shared(sized, vectors)
     extra = [c for c in shared.columns if c not in ("w1", "w2")]

@@ -24,7 +24,7 @@ from lexigram.sources import dependency as dep
 from lexigram.sources import lists, ngrams
 from lexigram.sources.tables import read_table
 from lexigram.sources.text import trigrams_from_text, word_counts
-from lexigram.session import scratch_dir, spread
+from lexigram.session import apply_settings, broadcast_if_small, scratch_dir, spread
 from lexigram.streaming import tasks as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,8 +40,15 @@ SQUARE_PLACES = {1: 4, 2: 9, 3: 3, 4: 6}
 DISTANCE_PLACES = {1: 4, 2: 8, 3: 4, 4: 6}
 
 
+def register(name: str, fn: Query) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(apply_settings(spark), sf_dir)
+
+    QUERIES[name] = run
+
+
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    register(fn.__name__, fn)
     return fn
 
 
@@ -86,7 +93,7 @@ def trigram_counts(spark, sf_dir):
 def stopword_filter(spark, sf_dir):
     counted = given.trigrams(spark, sf_dir)
     frequent = ct.most_frequent_words(ct.unigram_totals(ct.pair_roles(counted)), STOPWORDS)
-    return ct.drop_stopwords(counted, frequent)
+    return ct.drop_stopwords(counted, F.broadcast(frequent))  # bounded by the limit
 
 
 @query
@@ -241,30 +248,29 @@ def _dependency_lines(spark, sf_dir):
 
 
 def _gold(spark, sf_dir):
-    return lists.gold_pairs(given.gold_lines(spark, sf_dir), stem=False)
-
-
-def _gold_vectors(spark, sf_dir):
-    return similarity.gold_vectors(_dependency_lines(spark, sf_dir), _gold(spark, sf_dir), stem=False)
+    return similarity.gold(given.gold_lines(spark, sf_dir), stem=False)
 
 
 def _pair_features(spark, sf_dir):
-    return sim.pair_features(_gold_vectors(spark, sf_dir), _gold(spark, sf_dir))
+    pairs = _gold(spark, sf_dir)
+    vectors = similarity.gold_vectors(_dependency_lines(spark, sf_dir), pairs, stem=False)
+    return sim.pair_features(vectors, broadcast_if_small(pairs))
 
 
 def _pair_sums(spark, sf_dir):
-    return similarity.sums(_dependency_lines(spark, sf_dir), given.gold_lines(spark, sf_dir), stem=False)
+    return similarity.sums(_dependency_lines(spark, sf_dir), _gold(spark, sf_dir), stem=False)
 
 
 @query
 def gold_pairs(spark, sf_dir):
-    return _gold(spark, sf_dir)
+    return lists.gold_pairs(given.gold_lines(spark, sf_dir), stem=False)
 
 
 @query
 def gold_vocab_filter(spark, sf_dir):
     pairs = co.pair_totals(_cooccurrence(spark, sf_dir))
-    return pairs.join(lists.gold_vocabulary(_gold(spark, sf_dir)), "lexeme", "left_semi")
+    vocabulary = broadcast_if_small(lists.gold_vocabulary(_gold(spark, sf_dir)))
+    return pairs.join(vocabulary, "lexeme", "left_semi")
 
 
 @query
@@ -296,23 +302,25 @@ def _distance(*functions):
     return run
 
 
-QUERIES["dist_manhattan"] = _distance(manhattan)
-QUERIES["dist_euclid"] = _distance(euclid)
-QUERIES["sim_cosine"] = _distance(cosine)
-QUERIES["sim_jaccard"] = _distance(jaccard)
-QUERIES["sim_dice"] = _distance(dice)
-QUERIES["dist_js"] = _distance(jensen_shannon)
+register("dist_manhattan", _distance(manhattan))
+register("dist_euclid", _distance(euclid))
+register("sim_cosine", _distance(cosine))
+register("sim_jaccard", _distance(jaccard))
+register("sim_dice", _distance(dice))
+register("dist_js", _distance(jensen_shannon))
 
 
 @query
 def similarity_matrix(spark, sf_dir):
-    rows = sim.distances(_pair_sums(spark, sf_dir))
+    rows = similarity.matrix(_dependency_lines(spark, sf_dir), _gold(spark, sf_dir), stem=False)
     return rounded(rows, _distance_places(rows.columns))
 
 
 @query
 def labelled_matrix(spark, sf_dir):
-    return sim.labelled(similarity_matrix(spark, sf_dir), _gold(spark, sf_dir))
+    lines, gold_lines = _dependency_lines(spark, sf_dir), given.gold_lines(spark, sf_dir)
+    rows = similarity.labelled_matrix(lines, gold_lines, stem=False)
+    return rounded(rows, _distance_places(rows.columns))
 
 
 # ---- stemming ----
@@ -322,8 +330,8 @@ def _words(spark, sf_dir):
     return word_counts(given.documents(spark, sf_dir))
 
 
-QUERIES["stem_vocabulary"] = lambda spark, sf_dir: stem_vocabulary(_words(spark, sf_dir))
-QUERIES["stemmed_counts"] = lambda spark, sf_dir: stemmed_counts(_words(spark, sf_dir))
+register("stem_vocabulary", lambda spark, sf_dir: stem_vocabulary(_words(spark, sf_dir)))
+register("stemmed_counts", lambda spark, sf_dir: stemmed_counts(_words(spark, sf_dir)))
 
 
 # ---- document tasks ----
@@ -367,8 +375,8 @@ def doc_convert(spark, sf_dir):
     return _converted(spark, sf_dir)
 
 
-QUERIES["client_progress"] = lambda spark, sf_dir: client_progress(_converted(spark, sf_dir), _tasks(spark, sf_dir))
-QUERIES["client_report"] = lambda spark, sf_dir: report_lines(_converted(spark, sf_dir))
+register("client_progress", lambda spark, sf_dir: client_progress(_converted(spark, sf_dir), _tasks(spark, sf_dir)))
+register("client_report", lambda spark, sf_dir: report_lines(_converted(spark, sf_dir)))
 
 
 # ---- task streams ----
@@ -381,19 +389,24 @@ def _messages(spark, sf_dir):
     return stream.read_messages(spark, queue)
 
 
+def _append(rows):
+    spark = rows.sparkSession
+    return stream.run_append(rows, scratch_dir(spark, "results"), scratch_dir(spark, "state"))
+
+
 def _progress(spark, sf_dir):
-    return stream.run_latest(stream.progress(_messages(spark, sf_dir), REPEAT_DELAY), "progress", "client")
+    rows = stream.progress(_messages(spark, sf_dir), REPEAT_DELAY)
+    return stream.run_latest(rows, "client", scratch_dir(spark, "progress"), scratch_dir(spark, "state"))
 
 
 @query
 def stream_results(spark, sf_dir):
-    return stream.run_append(stream.task_results(_messages(spark, sf_dir)), "results").drop("ts")
+    return _append(stream.task_results(_messages(spark, sf_dir))).drop("ts")
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    once = stream.without_repeats(stream.task_results(_messages(spark, sf_dir)), REPEAT_DELAY)
-    return stream.run_append(once, "distinct").drop("ts")
+    return _append(stream.without_repeats(stream.task_results(_messages(spark, sf_dir)), REPEAT_DELAY)).drop("ts")
 
 
 @query

@@ -1,4 +1,4 @@
-"""Word similarity end to end: dependency lines and gold lines in, 24-column matrix out."""
+"""Word similarity end to end: dependency lines and gold pairs in, 24-column matrix out."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from lexigram.operators.cooccurrence import associations, cooccurrence
 from lexigram.operators.similarity import distances, labelled, pair_sums
+from lexigram.session import broadcast_if_small, stored
 from lexigram.sources.dependency import parse_dependency_lines
 from lexigram.sources.lists import gold_pairs, gold_vocabulary
 
@@ -14,21 +15,27 @@ def counts(lines: DataFrame, stem: bool = True) -> DataFrame:
     return cooccurrence(parse_dependency_lines(lines), stem)
 
 
-def gold_vectors(lines: DataFrame, gold: DataFrame, stem: bool = True) -> DataFrame:
-    """Association vectors of the gold words; ``gold`` holds parsed pairs."""
-    return associations(counts(lines, stem), gold_vocabulary(gold))
+def gold(lines: DataFrame, stem: bool = True) -> DataFrame:
+    """Gold pairs ``(w1, w2, label)``, parsed and written once."""
+    return stored(gold_pairs(lines, stem), "gold")
 
 
-def sums(lines: DataFrame, gold_lines: DataFrame, stem: bool = True) -> DataFrame:
-    gold = gold_pairs(gold_lines, stem)
-    return pair_sums(gold_vectors(lines, gold, stem), gold)
+def gold_vectors(lines: DataFrame, pairs: DataFrame, stem: bool = True) -> DataFrame:
+    """Association vectors of the words in ``pairs``, written once."""
+    vocabulary = broadcast_if_small(gold_vocabulary(pairs))
+    return stored(associations(counts(lines, stem), vocabulary), "vectors")
 
 
-def matrix(lines: DataFrame, gold_lines: DataFrame, stem: bool = True) -> DataFrame:
+def sums(lines: DataFrame, pairs: DataFrame, stem: bool = True) -> DataFrame:
+    return pair_sums(gold_vectors(lines, pairs, stem), pairs)
+
+
+def matrix(lines: DataFrame, pairs: DataFrame, stem: bool = True) -> DataFrame:
     """``(w1, w2, c1 .. c24)``."""
-    return distances(sums(lines, gold_lines, stem))
+    return distances(sums(lines, pairs, stem))
 
 
 def labelled_matrix(lines: DataFrame, gold_lines: DataFrame, stem: bool = True) -> DataFrame:
     """The matrix with the gold label as ``result``."""
-    return labelled(matrix(lines, gold_lines, stem), gold_pairs(gold_lines, stem))
+    pairs = gold(gold_lines, stem)
+    return labelled(matrix(lines, pairs, stem), pairs)

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-#: Runtime SQL settings the plans are written for. Joins carry no broadcast hints: the size threshold and
-#: adaptive execution pick broadcast, shuffled-hash or sort-merge from measured sizes, and split skewed partitions.
+#: Runtime SQL settings the plans are written for. Plan-time size estimates are far too low for exploded text, so
+#: they never choose a broadcast; adaptive execution picks broadcast, shuffled-hash or sort-merge join from the
+#: measured size of a shuffle, and splits skewed partitions.
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
@@ -40,6 +46,11 @@ def local_session(cores: int | str = 8, memory: str = "16g", shuffle_partitions:
     return apply_settings(spark)
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="lexigram-")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, the storage every executor can reach.
 
@@ -49,11 +60,34 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="lexigram-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_scratch()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result that several later steps read to the shared folder, and continue from the written table.
+
+    The steps then share one computation, their plans stay small, and a lost executor costs no recomputation of it.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = 16 * 2**20) -> DataFrame:
+    """Hint a broadcast after measuring the frame; a larger one is returned as it is and joins by shuffle.
+
+    Measuring runs the frame, so give it a stored or a source table. Meant for lists that filter a far larger table:
+    without the hint that table would be shuffled before its partner's size is known.
+    """
+    width = sum(
+        (F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType == StringType() else F.lit(0)) + 16
+        for f in df.schema.fields
+    )
+    size = df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0
+    return F.broadcast(df) if size <= max_bytes else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rebalance an input that has fewer splits than there are cores; larger inputs pass through unshuffled."""
     cores = df.sparkSession.sparkContext.defaultParallelism

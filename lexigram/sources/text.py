@@ -6,6 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def not_null(name: str) -> Column:
+    """A word column known to hold no nulls.
+
+    Joins then add no null filters. Such filters sink to the source of one use of a count table but not of another,
+    and the two uses could no longer share one shuffle.
+    """
+    return F.coalesce(F.col(name), F.lit("")).alias(name)
+
+
 def words(text: Column) -> Column:
     """Lower-cased maximal runs of letters, in order."""
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), "")
@@ -22,7 +31,8 @@ def ngram_occurrences(docs: DataFrame, size: int, text: str = "text", keep: tupl
     shifted = [F.slice("ws", i + 1, runs) for i in range(size)]
     names = [f"w{i + 1}" for i in range(size)]
     kept = [c for c in tokens.columns if c != "ws"]
-    return tokens.select(*kept, F.inline(F.arrays_zip(*shifted)).alias(*names))
+    runs_of_words = tokens.select(*kept, F.inline(F.arrays_zip(*shifted)).alias(*names))
+    return runs_of_words.select(*kept, *[not_null(n) for n in names])
 
 
 def trigrams_from_text(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -1,23 +1,26 @@
 """Task results as a stream: decode, drop repeats, progress per client, unresolved clients.
 
-Streams read a folder of messages and write to the shared scratch folder; results are read back from there, never
-through the driver.
+Streams read a folder of messages and write to folders that all executors share; results are read back from there,
+never through the driver.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lexigram.functions.messages import decode, upload_total
-from lexigram.session import scratch_dir
 
 MESSAGE_SCHEMA = "ts timestamp, value string"
 
 
-def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of message files ``(ts, value)`` as a stream."""
-    return spark.readStream.schema(MESSAGE_SCHEMA).parquet(path)
+def read_messages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """A folder of message files ``(ts, value)`` as a stream; by default all waiting files form one batch."""
+    reader = spark.readStream.schema(MESSAGE_SCHEMA)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def decoded(messages: DataFrame) -> DataFrame:
@@ -67,10 +70,11 @@ def progress(messages: DataFrame, delay: str) -> DataFrame:
     )
 
 
-def run_append(stream: DataFrame, name: str) -> DataFrame:
-    """Run an append-mode stream over all waiting input and return what it wrote."""
-    spark = stream.sparkSession
-    out, state = scratch_dir(spark, name), scratch_dir(spark, f"{name}-state")
+def run_append(stream: DataFrame, out: str, state: str) -> DataFrame:
+    """Run an append-mode stream over all waiting input into the folder ``out`` and return what is there.
+
+    Run again with the same ``state`` folder it takes up where it stopped and adds only what is new.
+    """
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -80,16 +84,14 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
-def run_latest(stream: DataFrame, name: str, key: str) -> DataFrame:
-    """Run an update-mode stream over all waiting input and return the latest row per ``key``.
+def run_latest(stream: DataFrame, key: str, out: str, state: str) -> DataFrame:
+    """Run an update-mode stream over all waiting input into ``out`` and return the latest row per ``key``.
 
-    Each micro-batch overwrites its own folder, so a repeated batch after a failure leaves one copy.
+    Each micro-batch overwrites its own folder, so a batch repeated after a failure leaves one copy.
     """
-    spark = stream.sparkSession
-    out, state = scratch_dir(spark, name), scratch_dir(spark, f"{name}-state")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
@@ -102,8 +104,8 @@ def run_latest(stream: DataFrame, name: str, key: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    schema = stream.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
-    written = spark.read.schema(f"{schema}, batch bigint").option("basePath", out).parquet(out)
+    schema = StructType([*stream.schema.fields, StructField("batch", LongType())])
+    written = stream.sparkSession.read.schema(schema).option("basePath", out).parquet(out)
     values = F.struct(*[c for c in stream.columns if c != key])
     return written.groupBy(key).agg(F.max_by(values, "batch").alias("v")).select(key, "v.*")
 
