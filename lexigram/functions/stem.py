@@ -116,4 +116,7 @@ def stem_columns(df: DataFrame, *names: str) -> DataFrame:
         n: F.when(F.length(f"__word_{n}") < 3, F.col(f"__word_{n}")).otherwise(F.replace(n, F.lit(MARK), F.lit("y")))
         for n in names
     }
-    return out.withColumns(stemmed).drop(*aside.values(), *[f"__word_{n}" for n in names])
+    # A generator ends the lineage of the columns: when a stem becomes a join key, optimizer rules that trace keys to
+    # their source would otherwise expand all the steps into one expression, whose size is exponential in their number.
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return out.withColumns(stemmed).select(F.inline(F.array(row)))

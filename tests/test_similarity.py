@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from test_dependency import LINES
 
 from lexigram.operators import similarity as sim
@@ -80,8 +81,8 @@ def test_outer_vectors_give_the_same_sums(spark, vectors):
     table = spark.createDataFrame(rows, VECTORS)
     pairs = spark.createDataFrame(PAIRS, "w1 string, w2 string")
     cells = sim.pair_vectors(sim.pair_features(table, pairs))
-    outer = {(r[0], r[1]): tuple(r)[2:] for r in cells.selectExpr("w1", "w2", "x1", "y1").groupBy("w1", "w2")
-             .agg({"x1": "sum", "y1": "sum"}).collect()}
+    totals = cells.groupBy("w1", "w2").agg(F.sum("x1").alias("x"), F.sum("y1").alias("y"))
+    outer = {(r.w1, r.w2): (r.x, r.y) for r in totals.collect()}
     for (w1, w2), (x, y) in outer.items():
         assert x == sum(v[0] for v in vectors.get(w1, {}).values())
         assert y == sum(v[0] for v in vectors.get(w2, {}).values())

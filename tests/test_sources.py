@@ -40,7 +40,7 @@ def test_text_and_gzip_input(spark, tmp_path):
     both = ngrams.read_lines(spark, [str(tmp_path / "a.txt"), str(tmp_path / "b.txt.gz")])
     assert sorted(r.w1 for r in ngrams.parse_ngram_lines(both).collect()) == ["a", "d"]
     heads = parse_dependency_lines(ngrams.read_lines(spark, str(tmp_path))).collect()
-    assert all(r.reason for r in heads)
+    assert sorted(r.head for r in heads) == ["a b c", "d e f"]
 
 
 def test_word_list_and_shards(spark, tmp_path):
