@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexigram.functions.association import association_columns
 from lexigram.functions.stem import stem_columns
+from lexigram.operators.counts import join_key
 from lexigram.sources.dependency import feature_arcs
 from lexigram.sources.text import not_null
 
@@ -87,7 +88,8 @@ def associations(counts: DataFrame, vocabulary: DataFrame | None = None) -> Data
     pairs = pair_totals(counts)
     if vocabulary is not None:
         pairs = pairs.join(vocabulary, "lexeme", "left_semi")
-    rows = pairs.join(lexeme_totals(counts), "lexeme").join(feature_totals(counts), "feature")
+    totals_of_features = feature_totals(counts).select(join_key("feature"), "count_f")
+    rows = pairs.join(lexeme_totals(counts), "lexeme").join(totals_of_features, "feature")
     totals = corpus_totals(counts)
     measures = association_columns(
         F.col("count_lf"),

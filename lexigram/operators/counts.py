@@ -6,7 +6,7 @@ trigram table is aggregated once and words are counted from pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -56,6 +56,15 @@ def unigram_totals(roles: DataFrame) -> DataFrame:
     return roles.select(F.inline(F.array(left, right))).groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
 
 
+def join_key(name: str, alias: str | None = None) -> Column:
+    """A word column of a totals table as the key of a join whose other side may be skewed.
+
+    Adaptive execution splits a hot partition only where both inputs of the join are shuffles. Totals are already
+    partitioned by their key and would enter the join without one; a key that is an expression gives them their own.
+    """
+    return F.concat(F.col(name), F.lit("")).alias(alias or name)
+
+
 def corpus_size(unigrams: DataFrame) -> DataFrame:
     """One row: the sum of all word totals."""
     return unigrams.agg(F.sum("n").alias("c0"))

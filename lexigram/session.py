@@ -31,8 +31,8 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = 8, memory: str = "16g", shuffle_partitions: int | None = None) -> SparkSession:
-    """Session for tests and the benchmark."""
-    parts = shuffle_partitions or (2 * int(cores) if str(cores).isdigit() else 16)
+    """Session for tests and the benchmark: one shuffle partition per core."""
+    parts = shuffle_partitions or (int(cores) if str(cores).isdigit() else 8)
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("lexigram")
