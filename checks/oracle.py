@@ -335,3 +335,26 @@ def _build(select: str) -> str:
 ORACLE = {name: _build(select) for name, select in SELECTS.items()}
 ORACLE["stem_vocabulary"] = stem_sql("SELECT word, stem FROM stems")
 ORACLE["stemmed_counts"] = stem_sql("SELECT stem, CAST(sum(n) AS BIGINT) AS n FROM stems GROUP BY stem")
+
+
+def stemmed_model_sql(select: str) -> str:
+    """``select`` over the co-occurrence expressions with every word of the trigrams and gold pairs stemmed."""
+    known = f"""tok AS (SELECT ws FROM ({CTES["tok"]}) UNION ALL SELECT list_distinct([w1, w2]) FROM ({CTES["gold"]}))"""
+    stems = STEM_CTES.replace("{drop}", _drop_step())
+    own = {
+        "pieces": CTES["tok"],
+        "occ": CTES["occ"].replace("FROM tok", "FROM pieces"),
+        "tri": """SELECT a.stem AS w1, b.stem AS w2, c.stem AS w3, CAST(count(*) AS BIGINT) AS n FROM occ
+            JOIN stems a ON a.word = w1 JOIN stems b ON b.word = w2 JOIN stems c ON c.word = w3 GROUP BY ALL""",
+        "gold": f"""SELECT a.stem AS w1, b.stem AS w2, max(label) AS label FROM ({CTES["gold"]})
+            JOIN stems a ON a.word = w1 JOIN stems b ON b.word = w2 GROUP BY ALL""",
+    }
+    own |= {n: CTES[n] for n in ("feat", "lex", "lf", "ft", "totals", "assoc", "sides", "cells", "sums")}
+    body = ",\n".join(f"{n} AS MATERIALIZED ({text})" for n, text in own.items())
+    return f"WITH {known},{stems},\n{body}\n{select}"
+
+
+ORACLE["stemmed_association"] = stemmed_model_sql(f"SELECT lexeme, feature, {ROUNDED_A} FROM assoc")
+ORACLE["stemmed_labelled_matrix"] = stemmed_model_sql(
+    f"""SELECT w1, w2, {_distances(0, 1, 2, 3, 4, 5)}, label AS result FROM sums LEFT JOIN gold USING (w1, w2)"""
+)

@@ -334,6 +334,19 @@ register("stem_vocabulary", lambda spark, sf_dir: stem_vocabulary(_words(spark,
 register("stemmed_counts", lambda spark, sf_dir: stemmed_counts(_words(spark, sf_dir)))
 
 
+@query
+def stemmed_association(spark, sf_dir):
+    rows = co.associations(similarity.counts(_dependency_lines(spark, sf_dir), stem=True))
+    return rounded(rows, {"a1": 9, "a2": 9, "a3": 9, "a4": 9})
+
+
+@query
+def stemmed_labelled_matrix(spark, sf_dir):
+    lines, gold_lines = _dependency_lines(spark, sf_dir), given.gold_lines(spark, sf_dir)
+    rows = similarity.labelled_matrix(lines, gold_lines, stem=True)
+    return rounded(rows, _distance_places(rows.columns))
+
+
 # ---- document tasks ----
 
 
