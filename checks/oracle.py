@@ -169,6 +169,7 @@ def _ends(cases: list[tuple[str, str]], measure: str) -> str:
     return f"CASE {' '.join(whens)} ELSE w END"
 
 
+# Fixed values of the Porter algorithm.
 STEP_DOUBLE = [
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"), ("bli", "ble"),
     ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"),
