@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,11 +28,14 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, memory: str = "16g", shuffle_partitions: int | None = None) -> SparkSession:
-    """Session for tests and the benchmark: one shuffle partition per core."""
+def local_session(
+    cores: int | str = 8, memory: str = "16g", shuffle_partitions: int | None = None, shared: str | None = None
+) -> SparkSession:
+    """Session for tests and the benchmark: one shuffle partition per core; ``shared`` becomes spark.checkpoint.dir."""
     parts = shuffle_partitions or (int(cores) if str(cores).isdigit() else 8)
+    builder = SparkSession.builder.config("spark.checkpoint.dir", shared) if shared else SparkSession.builder
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("lexigram")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
@@ -46,21 +47,9 @@ def local_session(cores: int | str = 8, memory: str = "16g", shuffle_partitions:
     return apply_settings(spark)
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="lexigram-")
-
-
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``, the storage every executor can reach.
-
-    Only a local session may go without the setting; it then gets a temporary folder of its own.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_scratch()
+    """A fresh folder that every executor can reach: below ``spark.checkpoint.dir``, or below the warehouse if unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

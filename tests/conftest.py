@@ -11,8 +11,9 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, memory="8g", shuffle_partitions=8)
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(8, memory="8g", shuffle_partitions=8, shared=shared)
     yield session
     session.stop()
 

@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from checks.compare import differences, views
+from checks.oracle import ORACLE
+from lexigram.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,11 +13,11 @@ def duck():
     return views("/root/testdata/sf0.001")
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, duck, name):
-    got = queries()[name](spark, sf_dir).toPandas()
+    got = QUERIES[name](spark, sf_dir).toPandas()
     assert len(got) > 0
-    assert differences(got, duck.execute(oracle_sql()[name]).df()) == ""
+    assert differences(got, duck.execute(ORACLE[name]).df()) == ""
 
 
 def test_entry(spark):

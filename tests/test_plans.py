@@ -82,19 +82,15 @@ def test_spread_leaves_well_split_input_alone(spark):
 
 def test_scratch_folder_follows_the_setting(spark):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-    assert first.startswith(spark.conf.get("spark.checkpoint.dir", "") or "/tmp/lexigram-") and first != second
+    assert first.startswith(spark.conf.get("spark.checkpoint.dir")) and first != second
 
 
-def test_a_cluster_needs_a_shared_folder():
+def test_without_the_setting_the_shared_warehouse_holds_scratch():
     class Cluster:
         class conf:
-            get = staticmethod(lambda key, default: default)
+            get = staticmethod({"spark.sql.warehouse.dir": "hdfs://store/warehouse"}.get)
 
-        class sparkContext:
-            master = "yarn"
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_dir(Cluster, "x")
+    assert scratch_dir(Cluster, "x").startswith("hdfs://store/warehouse/scratch/x-")
 
 
 def test_hot_prefix_and_hot_word(spark):
