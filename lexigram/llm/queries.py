@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigram.llm import decontaminate
+from lexigram.llm import decontaminate, minhash
 from lexigram.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,3 +22,8 @@ def query(fn: Query) -> Query:
 @query
 def op3_decontamination(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query
+def op5_near_duplicates(spark, sf_dir):
+    return minhash.report(table(spark, sf_dir, "documents"))
