@@ -9,13 +9,14 @@ every coordinate fills after ``T`` more rounds at the latest, mostly after two o
 Jaccard similarity with the concentration of independent draws.
 
 *Candidates.* Equal sets are one item. ``BANDS`` bands of ``ROWS`` coordinates make bucket keys; a pair at the threshold misses
-all buckets with probability ``(1 - 0.75 ** 4) ** 40 = 2.5e-7``.
+all buckets with probability ``(1 - 0.75 ** 4) ** 32 = 5e-6``, one at 0.8 with 5e-8.
 
-*Links without all pairs.* First every document is compared with the smallest document it meets in any bucket. Buckets whose
-members are then in one component need nothing more. In the others, members of different components are compared: blocks of
-at most ``BLOCK`` members per task compare sizes and byte sketches in numpy, and only pairs within ``MARGIN`` (over six
-standard deviations) of the threshold are verified. Verification intersects the full sets. No bucket, partner or
-candidate is capped.
+*Links without all pairs.* Only pairs whose sizes allow the threshold and whose byte sketches agree to within ``MARGIN`` of it
+(over six standard deviations) are verified, by intersecting full sets. First every document is compared with the smallest
+document it meets in any bucket. Buckets whose members are then in one component need nothing more. In the others, blocks of at
+most ``BLOCK`` members meet in numpy: for ``BEST_TURNS`` turns every document is compared with the member of another component
+whose sketch is closest, which joins groups around their originals; the last turn verifies every pair that is left between
+different components. No bucket, partner or candidate is capped.
 
 A null or repeated ``doc_id`` is one node: rows that share it belong together; null ids are never linked and their
 component is null.
@@ -34,14 +35,15 @@ from pyspark.sql import functions as F
 from lexigram.llm.common import importable, map_batches
 from lexigram.llm.components import components
 from lexigram.llm.words import NOT_BLANK, STRETCH, Words, blocks, doc_runs, mix, runs
-from lexigram.session import stored
+from lexigram.session import broadcast_if_small, stored
 
 SHINGLE = 5
 PERCENT = 75
-ROWS, BANDS = 4, 40
+ROWS, BANDS = 4, 32
 T = ROWS * BANDS
 MARGIN = 0.25
 BLOCK = 1024
+BEST_TURNS = 2
 #: Bucket members that one task compares at a time, whole blocks.
 SHARD = 32_768
 
@@ -115,9 +117,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), make, schema)
 
 
-def _close_pairs(members: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of one bucket, of different components, whose sizes and byte sketches allow the threshold.
+def _allowed(sizes: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return 100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size)
 
+
+def _close_pairs(members: DataFrame, best: bool) -> DataFrame:
+    """Pairs ``(a, b)`` of one bucket and of different components that may reach the threshold, ``a`` smaller.
+
+    ``best``: for every document only the pair with the largest estimate, ties to the smaller partner.
     ``members``: key, part_a, part_b, doc, comp, n, sketch, shard. Blocks of a large bucket meet once per pair of blocks.
     """
 
@@ -127,24 +134,53 @@ def _close_pairs(members: DataFrame) -> DataFrame:
         edges = np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1
         docs, comps, sizes = (rows[c].to_numpy() for c in ("doc", "comp", "n"))
         sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
-        found: set[tuple[int, int]] = set()
+        found: dict[tuple[int, int], float] = {}
         for begin, end in zip([0, *edges], [*edges, len(rows)]):
-            n, s = sizes[begin:end], sketch[begin:end]
-            for i in range(begin, end - 1):
-                rest = slice(i + 1 - begin, end - begin)
-                fit = (comps[i + 1 : end] != comps[i]) & (100 * np.minimum(n[rest], sizes[i]) >= PERCENT * np.maximum(n[rest], sizes[i]))
-                maybe = np.flatnonzero(fit)
-                if len(maybe):
-                    same = (s[rest][maybe] == sketch[i]).mean(axis=1)
-                    for j in docs[i + 1 : end][maybe[same >= PERCENT / 100 - MARGIN]].tolist():
-                        found.add((int(docs[i]), j))
-        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
-
-    return members.groupBy("shard").applyInPandas(shard, "a bigint, b bigint").distinct()
-
-
-def _blocked(members: DataFrame) -> DataFrame:
-    """Members of buckets dealt into blocks, and blocks into shards of bounded size."""
+            mine = slice(begin, end)
+            top = np.zeros(end - begin)
+            partner = np.zeros(end - begin, np.int64)
+            for i in range(begin, end):
+                others = slice(begin if best else i + 1, end)
+                fit = np.flatnonzero((comps[others] != comps[i]) & _allowed(sizes[others], sizes[i]))
+                if not len(fit):
+                    continue
+                same = (sketch[others][fit] == sketch[i]).mean(axis=1)
+                close = same >= PERCENT / 100 - MARGIN
+                fit, same = fit[close] + others.start, same[close]
+                if best and len(fit):
+                    at = int(np.argmax(same))
+                    top[i - begin], partner[i - begin] = same[at], docs[fit[at]]
+                elif not best:
+                    found.update({(int(docs[i]), int(docs[j])): 1.0 for j in fit})
+            if best:
+                for doc, other, score in zip(docs[mine][top > 0].tolist(), partner[top > 0].tolist(), top[top > 0].tolist()):
+                    found[doc, other] = score
+        pairs = [(a, b, e) for (a, b), e in found.items()]
+        return pd.DataFrame(pairs, columns=["a", "b", "estimate"]).astype({"a": "int64", "b": "int64", "estimate": "float64"})
+
+    found = members.groupBy("shard").applyInPandas(shard, "a bigint, b bigint, estimate double")
+    if best:
+        order = F.struct("estimate", (-F.col("b")).alias("b"))
+        found = found.groupBy("a").agg((-F.max(order)["b"]).alias("b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _screened(pairs: DataFrame, items: DataFrame) -> DataFrame:
+    """Pairs (a, b) that sizes and byte sketches allow. ``items``: doc, n, sketch."""
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in (2, 3))
+        close = (x == y).mean(axis=1) >= PERCENT / 100 - MARGIN
+        return batch.filter(pa.array(close)).select([0, 1])
+
+    a, b = (items.select(*[F.col(c).alias(f"{c}_{side}") for c in items.columns]) for side in "ab")
+    met = pairs.join(b, F.col("b") == F.col("doc_b")).join(a, F.col("a") == F.col("doc_a"))
+    sized = met.where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
+    return map_batches(sized.select("a", "b", "sketch_a", "sketch_b"), make, "a bigint, b bigint").distinct()
+
+
+def _blocked(members: DataFrame, items: DataFrame) -> DataFrame:
+    """Members of buckets (key, doc, comp) with size and sketch, dealt into blocks, and blocks into shards of bounded size."""
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("total"))
     cut = members.join(sizes, "key").withColumn("parts", F.ceil(F.col("total") / BLOCK).cast("int"))
     part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
@@ -152,7 +188,7 @@ def _blocked(members: DataFrame) -> DataFrame:
     dealt = cut.withColumn("part", part).withColumn("other", F.explode(others))
     n_rows = members.count()
     shards = max(1, n_rows // SHARD)
-    return dealt.select(
+    return dealt.join(items, "doc").select(
         "key",
         F.least("part", "other").alias("part_a"),
         F.greatest("part", "other").alias("part_b"),
@@ -173,22 +209,21 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             parts.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(hashes.view(np.int64))))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.concat_arrays(parts)], names=["doc", "shingles"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc"), "text").join(wanted, "doc", "left_semi")
-    return map_batches(rows, make, "doc bigint, shingles array<bigint>")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc"), "text")
+    return map_batches(rows.join(broadcast_if_small(wanted), "doc", "left_semi"), make, "doc bigint, shingles array<bigint>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
+    ends = pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct()
+    sets = stored(_sets(docs, stored(ends, "ends")), "sets")
     left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("x"))
+    left = left.join(pairs.select("a").distinct(), "a", "left_semi")
     right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     either = F.size("x") + F.size("y") - both
-    return pairs.join(right, "b").join(left, "a").where(100 * both >= PERCENT * either).select("a", "b").distinct()
-
-
-def _check(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    ends = pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct()
-    return stored(_verified(pairs, stored(_sets(docs, ends), "sets")), "verified")
+    same = pairs.join(right, "b").join(left, "a").where(100 * both >= PERCENT * either).select("a", "b")
+    return stored(same.distinct(), "verified")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -199,23 +234,27 @@ def classes(docs: DataFrame) -> DataFrame:
     equal = ids.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("first"))
     copies = stored(ids.join(equal, ["f1", "f2", "n_shingles"]).select("doc_id", "first"), "copies")
     firsts = copies.where("doc_id = first").select("doc_id").distinct()
-    items = ids.join(firsts, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), "n_shingles", "sketch", "bands")
+    chosen = ids.join(firsts, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch", "bands")
+    items = chosen.drop("bands")
 
-    members = items.select("doc", F.explode("bands").alias("key"))
-    buckets = members.groupBy("key").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(members.join(buckets, "key").select("key", "doc", "pivot"), "members")
+    members = chosen.select("doc", F.explode("bands").alias("key"))
+    buckets = members.groupBy("key").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("total")).where("total > 1")
+    members = stored(members.join(buckets.drop("total"), "key").select("key", "doc", "pivot"), "members")
     star = members.where("doc != pivot").groupBy(F.col("doc").alias("b")).agg(F.min("pivot").alias("a"))
-    links = _check(docs, star.select("a", "b"))
-
-    known = components(links)
-    named = members.join(known.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "key", "doc", F.coalesce("component", "doc").alias("comp")
-    )
-    mixed = named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-    open_members = named.join(mixed.select("key"), "key", "left_semi")
-    size = items.select("doc", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["doc"])
-    pairs = stored(_close_pairs(_blocked(stored(open_members, "open").join(size, "doc"))), "pairs")
-    links = links.unionByName(_check(docs, pairs.join(links, ["a", "b"], "left_anti")))
+    tried = stored(_screened(star.select("a", "b"), items), "pairs")
+    links = _verified(docs, tried)
+
+    for turn in range(BEST_TURNS + 1):
+        named = members.join(components(links).withColumnRenamed("node", "doc"), "doc", "left").select(
+            "key", "doc", F.coalesce("component", "doc").alias("comp")
+        )
+        mixed = named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+        unsettled = stored(named.join(mixed.select("key"), "key", "left_semi"), "unsettled")
+        pairs = _close_pairs(_blocked(unsettled, items), best=turn < BEST_TURNS)
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty() and turn == BEST_TURNS:
+            break
+        links, tried = links.unionByName(_verified(docs, pairs)), tried.unionByName(pairs)
 
     links = links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).where("a != b"))
     found = components(links).withColumnRenamed("node", "doc_id")
