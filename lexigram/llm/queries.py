@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigram.llm import decontaminate, minhash, quality
+from lexigram.llm import decontaminate, minhash, packing, quality, token_files
 from lexigram.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +32,13 @@ def op3_decontamination(spark, sf_dir):
 @query
 def op5_near_duplicates(spark, sf_dir):
     return minhash.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_packing(spark, sf_dir):
+    return packing.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_token_files(spark, sf_dir):
+    return token_files.report(table(spark, sf_dir, "documents"))
