@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigram.llm import decontaminate, minhash, packing, quality, token_files
+from lexigram.llm import decontaminate, minhash, packing, quality, secrets, token_files
 from lexigram.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op3_decontamination(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+@query
+def op4_secrets(spark, sf_dir):
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_near_duplicates(spark, sf_dir):
     return minhash.report(table(spark, sf_dir, "documents"))
