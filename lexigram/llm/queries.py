@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigram.llm import decontaminate, minhash, packing, quality, secrets, token_files
+from lexigram.llm import decontaminate, licences, minhash, packing, quality, secrets, token_files
 from lexigram.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,8 @@ def op7_packing(spark, sf_dir):
 @query
 def op9_token_files(spark, sf_dir):
     return token_files.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_licences(spark, sf_dir):
+    return licences.report(table(spark, sf_dir, "documents"))
