@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigram.llm import decontaminate, licences, minhash, packing, quality, secrets, token_files
+from lexigram.llm import decontaminate, licences, minhash, packing, pages, quality, secrets, token_files
 from lexigram.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op5_near_duplicates(spark, sf_dir):
     return minhash.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_html(spark, sf_dir):
+    return pages.report(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_packing(spark, sf_dir):
     return packing.report(table(spark, sf_dir, "documents"))
