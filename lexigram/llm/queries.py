@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigram.llm import decontaminate, licences, minhash, packing, pages, quality, secrets, token_files
+from lexigram.llm import decontaminate, licences, minhash, neighbours, packing, pages, quality, secrets, token_files
 from lexigram.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_neighbours(spark, sf_dir):
+    return neighbours.report(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 @query
 def op2_quality(spark, sf_dir):
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
