@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigram.llm import decontaminate, licences, minhash, neighbours, packing, pages, quality, secrets, token_files
+from lexigram.llm import decontaminate, licences, minhash, neighbours, packing, pages, quality, secrets, token_counts, token_files
 from lexigram.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ def op7_packing(spark, sf_dir):
     return packing.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_token_counts(spark, sf_dir):
+    return token_counts.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_token_files(spark, sf_dir):
     return token_files.report(table(spark, sf_dir, "documents"))

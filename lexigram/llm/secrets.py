@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexigram.session import scratch_dir, stored
+from lexigram.session import broadcast_if_small, scratch_dir, stored
 
 SPANS = "array<struct<start:bigint,kind:string,end:bigint,rank:int>>"
 
@@ -148,7 +148,7 @@ def masked(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     """``docs`` (doc_id, text, ...) with every span replaced by ``[kind]``; rows without a finding stay as they are."""
     ledger = ledger or scratch_dir(docs.sparkSession, "ledger")
     found = scan(docs.select(F.col("doc_id").alias("path"), "text"), ledger).where(F.size("spans") > 0)
-    found = stored(found.select("blob", "spans").distinct(), "findings")
+    found = stored(found.select("blob", F.to_json("spans").alias("spans")).distinct(), "findings")
     begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, s: Column) -> Column:
@@ -166,13 +166,12 @@ def masked(docs: DataFrame, ledger: str | None = None) -> DataFrame:
 
     rest = F.length("text").cast("int")
     cut = F.aggregate(
-        F.array_sort("spans"),
+        F.array_sort(F.from_json("spans", SPANS)),
         begin,
         step,
         lambda state: F.concat(state["out"], F.col("text").substr((state["at"] + 1).cast("int"), rest)),
     )
-    rows = docs.withColumn("_blob", F.sha2(F.coalesce("text", F.lit("")), 256)).join(
-        found.withColumnRenamed("blob", "_blob"), "_blob", "left"
-    )
+    own = docs.select(F.struct(*docs.columns).alias("doc"), "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("blob"))
+    rows = own.join(broadcast_if_small(found), "blob", "left")
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut).alias("text")
-    return rows.select(*[text if c == "text" else F.col(c) for c in docs.columns])
+    return rows.select(*[text if c == "text" else F.col(f"doc.{c}") for c in docs.columns])
