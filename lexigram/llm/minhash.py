@@ -16,7 +16,9 @@ all buckets with probability ``(1 - 0.75 ** 4) ** 32 = 5e-6``, one at 0.8 with 5
 document it meets in any bucket. Buckets whose members are then in one component need nothing more. In the others, blocks of at
 most ``BLOCK`` members meet in numpy: for ``BEST_TURNS`` turns every document is compared with the member of another component
 whose sketch is closest, which joins groups around their originals; the last turn verifies every pair that is left between
-different components. No bucket, partner or candidate is capped.
+different components, each in its first common bucket. Blocks with few candidates pass them on as pairs; in dense blocks (many
+documents just below the threshold) the full sets come to the block, and only links leave it. No bucket, partner or candidate
+is capped.
 
 A null or repeated ``doc_id`` is one node: rows that share it belong together; null ids are never linked and their
 component is null.
@@ -42,10 +44,13 @@ PERCENT = 75
 ROWS, BANDS = 4, 32
 T = ROWS * BANDS
 MARGIN = 0.25
-BLOCK = 1024
-BEST_TURNS = 2
+BLOCK = 512
+#: A block with more candidate pairs than this per member verifies them itself and passes on the links only.
+DENSE = 2
+BEST_TURNS = 1
 #: Bucket members that one task compares at a time, whole blocks.
-SHARD = 32_768
+SHARD = 16_384
+BLOCK_KEY = ["key", "part_a", "part_b"]
 
 
 def shingle_sets(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +100,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts = []
-        for begin, end in blocks(batch.column(1), 4 * STRETCH):
+        for begin, end in blocks(batch.column(1), 2 * STRETCH):
             hashes, first = shingle_sets(batch.column(1).slice(begin, end - begin))
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ np.uint64(seed)))]) for seed in (1, 2)]
             marks = [(s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums]
@@ -121,48 +126,99 @@ def _allowed(sizes: np.ndarray, size: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size)
 
 
-def _close_pairs(members: DataFrame, best: bool) -> DataFrame:
-    """Pairs ``(a, b)`` of one bucket and of different components that may reach the threshold, ``a`` smaller.
+class _Block:
+    """Rows of one or two parts of a bucket: key, part, doc, comp, n, sketch, bands."""
 
-    ``best``: for every document only the pair with the largest estimate, ties to the smaller partner.
-    ``members``: key, part_a, part_b, doc, comp, n, sketch, shard. Blocks of a large bucket meet once per pair of blocks.
-    """
+    def __init__(self, rows: pd.DataFrame):
+        self.docs, self.comps, self.sizes, self.parts = (rows[c].to_numpy() for c in ("doc", "comp", "n", "part"))
+        self.sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
+        bands = np.vstack(rows["bands"])
+        self.earlier = bands[:, : int(np.flatnonzero(bands[0] == rows["key"].iloc[0])[0])]
+        self.two_parts = len(np.unique(self.parts)) > 1
+
+    def candidates(self, i: int, begin: int) -> tuple[np.ndarray, np.ndarray]:
+        """Members from ``begin`` on that ``i`` may be linked with, and estimates; pairs meet in their first bucket only."""
+        rest = slice(begin, len(self.docs))
+        fit = (self.comps[rest] != self.comps[i]) & _allowed(self.sizes[rest], self.sizes[i])
+        if self.two_parts:
+            fit &= self.parts[rest] != self.parts[i]
+        at = np.flatnonzero(fit) + begin
+        if len(at):
+            at = at[~(self.earlier[at] == self.earlier[i]).any(axis=1)]
+        same = (self.sketch[at] == self.sketch[i]).mean(axis=1) if len(at) else np.zeros(0)
+        close = same >= PERCENT / 100 - MARGIN
+        return at[close], same[close]
+
+
+def _groups(rows: pd.DataFrame) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    rows = rows.sort_values([*BLOCK_KEY, "doc"], ignore_index=True)
+    group = rows[BLOCK_KEY].to_numpy()
+    edges = np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1
+    for begin, end in zip([0, *edges], [*edges, len(rows)]):
+        yield tuple(group[begin].tolist()), rows.iloc[begin:end]
+
+
+def _closest(members: DataFrame) -> DataFrame:
+    """For every document the pair ``(a, b)`` with the member of another component whose sketch is closest, ties to the
+    smaller one. ``members`` as dealt by ``_blocked``."""
 
     def shard(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["key", "part_a", "part_b", "doc"], ignore_index=True)
-        group = rows[["key", "part_a", "part_b"]].to_numpy()
-        edges = np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1
-        docs, comps, sizes = (rows[c].to_numpy() for c in ("doc", "comp", "n"))
-        sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
-        found: dict[tuple[int, int], float] = {}
-        for begin, end in zip([0, *edges], [*edges, len(rows)]):
-            mine = slice(begin, end)
-            top = np.zeros(end - begin)
-            partner = np.zeros(end - begin, np.int64)
-            for i in range(begin, end):
-                others = slice(begin if best else i + 1, end)
-                fit = np.flatnonzero((comps[others] != comps[i]) & _allowed(sizes[others], sizes[i]))
-                if not len(fit):
-                    continue
-                same = (sketch[others][fit] == sketch[i]).mean(axis=1)
-                close = same >= PERCENT / 100 - MARGIN
-                fit, same = fit[close] + others.start, same[close]
-                if best and len(fit):
-                    at = int(np.argmax(same))
-                    top[i - begin], partner[i - begin] = same[at], docs[fit[at]]
-                elif not best:
-                    found.update({(int(docs[i]), int(docs[j])): 1.0 for j in fit})
-            if best:
-                for doc, other, score in zip(docs[mine][top > 0].tolist(), partner[top > 0].tolist(), top[top > 0].tolist()):
-                    found[doc, other] = score
-        pairs = [(a, b, e) for (a, b), e in found.items()]
-        return pd.DataFrame(pairs, columns=["a", "b", "estimate"]).astype({"a": "int64", "b": "int64", "estimate": "float64"})
+        out = []
+        for _, block in _groups(rows):
+            own = _Block(block)
+            for i in range(len(own.docs)):
+                at, same = own.candidates(i, 0)
+                if len(at):
+                    best = int(np.argmax(same))
+                    out.append((int(own.docs[i]), int(own.docs[at[best]]), float(same[best])))
+        return pd.DataFrame(out, columns=["a", "b", "estimate"]).astype({"a": "int64", "b": "int64", "estimate": "float64"})
 
     found = members.groupBy("shard").applyInPandas(shard, "a bigint, b bigint, estimate double")
-    if best:
-        order = F.struct("estimate", (-F.col("b")).alias("b"))
-        found = found.groupBy("a").agg((-F.max(order)["b"]).alias("b"))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    order = F.struct("estimate", (-F.col("b")).alias("b"))
+    best = found.groupBy("a").agg((-F.max(order)["b"]).alias("b"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _remaining(members: DataFrame) -> DataFrame:
+    """All candidate pairs ``(a, b)`` of blocks with few of them; a row without a and b for each dense block."""
+
+    def shard(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for name, block in _groups(rows):
+            own, found = _Block(block), []
+            for i in range(len(own.docs)):
+                found += [(int(own.docs[i]), int(own.docs[j]), *name) for j in own.candidates(i, i + 1)[0]]
+                if len(found) > DENSE * len(own.docs):
+                    found = [(None, None, *name)]
+                    break
+            out += found
+        return pd.DataFrame(out, columns=["a", "b", *BLOCK_KEY]).astype({"a": "Int64", "b": "Int64"})
+
+    return members.groupBy("shard").applyInPandas(shard, "a bigint, b bigint, key bigint, part_a int, part_b int")
+
+
+def _dense_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` of dense blocks, found on the full sets within each block."""
+
+    def block(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("doc", ignore_index=True)
+        own, out = _Block(rows), []
+        shingles = [np.asarray(x) for x in rows["shingles"]]
+        for i in range(len(own.docs)):
+            at, _ = own.candidates(i, i + 1)
+            if not len(at):
+                continue
+            others = np.concatenate([shingles[j] for j in at])
+            mine = np.sort(shingles[i])
+            held = mine[np.minimum(np.searchsorted(mine, others), len(mine) - 1)] == others
+            first = np.concatenate([[0], np.cumsum([len(shingles[j]) for j in at])[:-1]])
+            both = np.add.reduceat(held.astype(np.int64), first)
+            either = np.array([len(shingles[j]) for j in at]) + len(mine) - both
+            linked = at[100 * both >= PERCENT * either]
+            out += [(int(own.docs[i]), int(own.docs[j])) for j in linked]
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return members.join(sets, "doc").groupBy(*BLOCK_KEY).applyInPandas(block, "a bigint, b bigint").distinct()
 
 
 def _screened(pairs: DataFrame, items: DataFrame) -> DataFrame:
@@ -180,7 +236,7 @@ def _screened(pairs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _blocked(members: DataFrame, items: DataFrame) -> DataFrame:
-    """Members of buckets (key, doc, comp) with size and sketch, dealt into blocks, and blocks into shards of bounded size."""
+    """Members of buckets (key, doc, comp) with size, sketch and bands, dealt into blocks, and blocks into shards of bounded size."""
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("total"))
     cut = members.join(sizes, "key").withColumn("parts", F.ceil(F.col("total") / BLOCK).cast("int"))
     part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
@@ -188,15 +244,10 @@ def _blocked(members: DataFrame, items: DataFrame) -> DataFrame:
     dealt = cut.withColumn("part", part).withColumn("other", F.explode(others))
     n_rows = members.count()
     shards = max(1, n_rows // SHARD)
-    return dealt.join(items, "doc").select(
-        "key",
-        F.least("part", "other").alias("part_a"),
-        F.greatest("part", "other").alias("part_b"),
-        "doc",
-        "comp",
-        "n",
-        "sketch",
-    ).withColumn("shard", F.pmod(F.xxhash64("key", "part_a", "part_b"), F.lit(shards)))
+    own = [F.least("part", "other").alias("part_a"), F.greatest("part", "other").alias("part_b")]
+    held = dealt.join(items, "doc").where(F.array_contains("bands", F.col("key")))  # an id may have several texts
+    rows = held.select("key", *own, "part", "doc", "comp", "n", "sketch", "bands")
+    return rows.withColumn("shard", F.pmod(F.xxhash64(*BLOCK_KEY), F.lit(shards)))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -204,7 +255,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts = []
-        for begin, end in blocks(batch.column(1), 4 * STRETCH):
+        for begin, end in blocks(batch.column(1), 2 * STRETCH):
             hashes, first = shingle_sets(batch.column(1).slice(begin, end - begin))
             parts.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(hashes.view(np.int64))))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.concat_arrays(parts)], names=["doc", "shingles"])
@@ -250,11 +301,15 @@ def classes(docs: DataFrame) -> DataFrame:
         )
         mixed = named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
         unsettled = stored(named.join(mixed.select("key"), "key", "left_semi"), "unsettled")
-        pairs = _close_pairs(_blocked(unsettled, items), best=turn < BEST_TURNS)
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty() and turn == BEST_TURNS:
-            break
+        blocked = _blocked(unsettled, chosen)
+        found = stored(_closest(blocked) if turn < BEST_TURNS else _remaining(blocked), "pairs")
+        pairs = stored(found.where("a is not null").select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
         links, tried = links.unionByName(_verified(docs, pairs)), tried.unionByName(pairs)
+    dense = found.where("a is null").select(*BLOCK_KEY)
+    if not dense.isEmpty():
+        blocked = blocked.join(dense, BLOCK_KEY, "left_semi")
+        sets = stored(_sets(docs, stored(blocked.select("doc").distinct(), "ends")), "sets")
+        links = links.unionByName(stored(_dense_links(blocked, sets), "verified"))
 
     links = links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).where("a != b"))
     found = components(links).withColumnRenamed("node", "doc_id")
