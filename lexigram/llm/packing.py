@@ -105,7 +105,7 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", window: int = W
         sequence, names, ids, tokens = TaskContext.get().partitionId() << 40, [], [], 0
         for batch in batches:
             for a, b in blocks(batch.column(1)):
-                texts = [t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]
+                texts = batch.column(1).slice(a, b - a)
                 for name, found in zip(batch.column(0).slice(a, b - a).to_pylist(), encode.many(texts)):
                     names.append(name)
                     ids.append(found + end)

@@ -148,7 +148,7 @@ def write(docs: DataFrame, path: str, vocabulary: str = "word_bpe_49k.json", seg
         number, first_id, names, found, held = 0, 0, [], [], 0
         for batch in batches:
             for a, b in blocks(batch.column(1), 1 << 20):
-                texts = [t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]
+                texts = batch.column(1).slice(a, b - a)
                 for name, ids in zip(batch.column(0).slice(a, b - a).to_pylist(), encode.many(texts)):
                     names.append(name)
                     found.append(ids + end)
