@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+def _significant(p: str, digits: int = 9, least: int = 13) -> str:
+    """A number from 0 to 1 to so many significant digits, at most ``digits + least`` decimals."""
+    whens = " ".join(f"WHEN {p} >= 1e-{k} THEN 1e{digits + k - 1}" for k in range(1, least + 1))
+    scale = f"(CASE {whens} ELSE 1e{digits + least} END)"
+    return f"floor({p} * {scale} + 0.5::DOUBLE) / {scale}"
+
+
 # ---- shared table expressions, in dependency order ----
 
 CTES = {
@@ -19,9 +26,10 @@ CTES = {
     "stats": """SELECT t.w1, t.w2, t.w3, t.n, p.n AS c12, q.n AS c23, u.n AS c2, v.n AS c3
         FROM tri t JOIN bi p ON p.w1 = t.w1 AND p.w2 = t.w2 JOIN bi q ON q.w1 = t.w2 AND q.w2 = t.w3
         JOIN uni u ON u.word = t.w2 JOIN uni v ON v.word = t.w3""",
-    "prob": """SELECT w1, w2, w3, round(k3 * n / c12 + (1 - k3) * k2 * c23 / c2 + (1 - k3) * (1 - k2) * c3 / c0, 9) AS prob
+    "raw": """SELECT w1, w2, w3, k3 * n / c12 + (1 - k3) * k2 * c23 / c2 + (1 - k3) * (1 - k2) * c3 / c0 AS p
         FROM (SELECT *, (ln(n + 1) + 1) / (ln(n + 1) + 2) AS k3, (ln(c23 + 1) + 1) / (ln(c23 + 1) + 2) AS k2
               FROM stats, size0)""",
+    "prob": f"SELECT w1, w2, w3, {_significant('p')} AS prob FROM raw",
     "conv": r"""SELECT DISTINCT ws[i] AS w1, ws[i + 1] AS w2, ws[i + 2] AS w3
         FROM (SELECT ws, unnest(range(1, len(ws) - 1)) AS i FROM (
             SELECT list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda x: x <> '') AS ws
@@ -87,12 +95,12 @@ CTES = {
                  WHEN op = 'ToHTML' THEN '<!DOCTYPE html>' || chr(10) || '<html>' || chr(10) || '<head>' || chr(10)
                     || '<title>PDF Page 1</title>' || chr(10) || '</head>' || chr(10) || '<body>' || chr(10) || text
                     || chr(10) || '</body>' || chr(10) || '</html>' END AS content
-        FROM keys k JOIN texts t ON t.url = k.url""",
+        FROM keys k JOIN (SELECT url, min(text) AS text FROM texts GROUP BY url) t ON t.url = k.url""",
     "posted": """SELECT CAST(user_id AS VARCHAR) AS client, event_type AS op, CAST(event_id AS VARCHAR) AS task,
-            CASE WHEN event_type = 'error' THEN 'Error: task failed'
+            CASE WHEN value > 300 THEN '' WHEN event_type = 'error' THEN 'Error: task failed'
                  ELSE 'DoneLocalId' || user_id || event_id || 'ToText.txt' END AS result,
-            CASE WHEN event_type = 'error' THEN 'error' ELSE 'done' END AS status, value
-        FROM events WHERE value <= 300""",
+            CASE WHEN value > 300 THEN 'open' WHEN event_type = 'error' THEN 'error' ELSE 'done' END AS status, value
+        FROM events""",
     "progress": """SELECT CAST(user_id AS VARCHAR) AS client, CAST(count(*) FILTER (value <= 300) AS BIGINT) AS done,
             CAST(count(*) AS BIGINT) AS total FROM events GROUP BY user_id""",
 }
@@ -181,7 +189,10 @@ STEP_SINGLE = [
 ]
 STEP_DROP = [
     (s, "")
-    for s in "al ance ence er ic able ible ant ement ment ent ou ism ate iti ous ive ize".split()
+    for s in (
+        "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ou", "ism", "ate", "iti", "ous",
+        "ive", "ize",
+    )
 ] + [("sion", "s"), ("tion", "t")]
 
 STEM_CTES = f"""
@@ -243,6 +254,21 @@ SELECTS = {
     "trigram_counts": "SELECT * FROM tri",
     "stopword_filter": """WITH_STOP SELECT * FROM tri WHERE w1 NOT IN (SELECT word FROM stop)
         AND w2 NOT IN (SELECT word FROM stop) AND w3 NOT IN (SELECT word FROM stop)""",
+    "stopword_filter_from_file": """WITH_STOP SELECT * FROM tri WHERE w1 NOT IN (SELECT word FROM stop)
+        AND w2 NOT IN (SELECT word FROM stop) AND w3 NOT IN (SELECT word FROM stop)""",
+    "sequence_file_counts": "SELECT * FROM tri",
+    "key_value_round_trip": "SELECT * FROM tri",
+    "tsv_round_trip": "SELECT * FROM tri",
+    "csv_round_trip": "SELECT * FROM tri",
+    "dep_irregular_roots": """SELECT w2 || chr(9) || w1 || '/X/left/2 ' || w2 || '/X/mid/1 ' || w3 || '/X/right/2' || chr(9) || n AS line,
+            0 AS root FROM tri
+        UNION ALL SELECT w2 || chr(9) || ',/X/punct/x ' || w2 || '/X/ROOT/0 ' || w3 || '/X/right/2 ''/X/punct/2 ' || w1
+            || '/X/far/3' || chr(9) || n, 2 FROM tri
+        UNION ALL SELECT w2 || chr(9) || w2 || '/X/ROOT/0 ' || w1 || '/X/ROOT/0 ' || w3 || '/X/first/1 ' || w3 || '/X/second/2'
+            || chr(9) || n, 1 FROM tri""",
+    "dep_irregular_features": """SELECT w2 AS lexeme, w3 || '-right' AS feature, n AS total FROM tri
+        UNION ALL SELECT w2, w3 || '-first', n FROM tri""",
+    "dep_irregular_totals": "SELECT CAST(3 * sum(n) AS BIGINT) AS l, CAST(2 * sum(n) AS BIGINT) AS f FROM tri",
     "corpus_subset": """SELECT CAST(percent AS INTEGER) AS percent, CAST(count(*) AS BIGINT) AS n_docs,
         CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents, (VALUES (1), (10), (100)) t(percent)
         WHERE doc_id % 100 < percent GROUP BY percent""",
@@ -258,25 +284,26 @@ SELECTS = {
         round((ln(n + 1) + 1) / (ln(n + 1) + 2), 9) AS k3 FROM stats""",
     "next_word_prob": "SELECT * FROM prob",
     "next_word_prob_guarded": "SELECT * FROM prob",
-    "next_word_ranked": "SELECT * FROM prob ORDER BY w1, w2, prob DESC, w3",
-    "next_word_topk": """SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY w1, w2 ORDER BY prob DESC, w3)
-        AS INTEGER) AS rank FROM prob) WHERE rank <= 5""",
-    "backoff_candidates": """SELECT b.w1 AS w2, b.w2 AS w3, u.n AS c2, v.n AS c3, b.n AS c23, c0,
+    "next_word_ranked": f"SELECT w1, w2, w3, {_significant('p')} AS prob FROM raw ORDER BY w1, w2, p DESC, w3",
+    "next_word_topk": f"""SELECT w1, w2, w3, {_significant('p')} AS prob, rank FROM (SELECT *,
+        CAST(row_number() OVER (PARTITION BY w1, w2 ORDER BY p DESC, w3) AS INTEGER) AS rank FROM raw) WHERE rank <= 5""",
+    "backoff_candidates": f"""SELECT * EXCLUDE (p), {_significant('p')} AS prob FROM (
+        SELECT b.w1 AS w2, b.w2 AS w3, u.n AS c2, v.n AS c3, b.n AS c23, c0,
         (SELECT count(*) FROM uni) - coalesce(s.seen, 0) AS unseen,
-        round(0.5 * ((ln(b.n + 1) + 1) / (ln(b.n + 1) + 2)) * b.n / u.n
-            + 0.5 * (1 - (ln(b.n + 1) + 1) / (ln(b.n + 1) + 2)) * v.n / c0, 9) AS prob
+        0.5::DOUBLE * ((ln(b.n + 1) + 1) / (ln(b.n + 1) + 2)) * b.n / u.n
+            + 0.5::DOUBLE * (1 - (ln(b.n + 1) + 1) / (ln(b.n + 1) + 2)) * v.n / c0 AS p
         FROM bi b JOIN uni u ON u.word = b.w1 JOIN uni v ON v.word = b.w2
         LEFT JOIN (SELECT w2, w3, count(DISTINCT w1) AS seen FROM tri GROUP BY w2, w3) s ON s.w2 = b.w1 AND s.w3 = b.w2,
-        size0""",
-    "backoff_scored": """SELECT w1, w2, w3, n > 0 AS seen,
-        round(CASE WHEN c12 = 0 THEN 0 ELSE k3 * n / c12 END + CASE WHEN c2 = 0 THEN 0 ELSE (1 - k3) * k2 * c23 / c2 END
-            + (1 - k3) * (1 - k2) * c3 / c0, 9) AS prob
+        size0)""",
+    "backoff_scored": f"""SELECT w1, w2, w3, seen, {_significant('p')} AS prob FROM (SELECT w1, w2, w3, n > 0 AS seen,
+        (CASE WHEN c12 = 0 THEN 0 ELSE k3 * n / c12 END + CASE WHEN c2 = 0 THEN 0 ELSE (1 - k3) * k2 * c23 / c2 END
+            + (1 - k3) * (1 - k2) * c3 / c0) AS p
         FROM (SELECT *, (ln(n + 1) + 1) / (ln(n + 1) + 2) AS k3, (ln(c23 + 1) + 1) / (ln(c23 + 1) + 2) AS k2 FROM (
             SELECT r.w1, r.w2, r.w3, coalesce(t.n, 0) AS n, coalesce(p.n, 0) AS c12, coalesce(q.n, 0) AS c23,
                 coalesce(u.n, 0) AS c2, coalesce(v.n, 0) AS c3
             FROM conv r LEFT JOIN tri t ON t.w1 = r.w1 AND t.w2 = r.w2 AND t.w3 = r.w3
             LEFT JOIN bi p ON p.w1 = r.w1 AND p.w2 = r.w2 LEFT JOIN bi q ON q.w1 = r.w2 AND q.w2 = r.w3
-            LEFT JOIN uni u ON u.word = r.w2 LEFT JOIN uni v ON v.word = r.w3)), size0""",
+            LEFT JOIN uni u ON u.word = r.w2 LEFT JOIN uni v ON v.word = r.w3)), size0)""",
     "dep_parse": """SELECT w2 AS head, n AS total, place, word, 'X' AS pos, dep, head_idx FROM (
         SELECT *, 1 AS place, w1 AS word, 'left' AS dep, 2 AS head_idx FROM tri
         UNION ALL SELECT *, 2, w2, 'ROOT', 0 FROM tri UNION ALL SELECT *, 3, w3, 'right', 2 FROM tri)""",
@@ -319,7 +346,10 @@ SELECTS = {
             || '<title>Document</title>' || chr(10) || '</head>' || chr(10) || '<body>' || chr(10) || '<pre>' FROM manifest
         UNION ALL SELECT DISTINCT client, 2, '</pre>' || chr(10) || '</body>' || chr(10) || '</html>' FROM manifest""",
     "stream_results": """SELECT client, op, task, result, status FROM posted
-        UNION ALL SELECT client, op, task, result, status FROM posted WHERE value > 30""",
+        UNION ALL SELECT client, op, task, result, status FROM posted WHERE value > 30 AND value <= 300""",
+    "rejected_messages": """SELECT text AS value, 'not a message' AS reason FROM conversations
+        UNION ALL SELECT '{"localID":"' || user_id || '","content":"' || event_type || '"}', 'fewer than 3 fields'
+        FROM events WHERE value > 300""",
     "stream_dedup": "SELECT client, op, task, result, status FROM posted",
     "stream_progress": "SELECT client, done, total, done = total AS complete FROM progress",
     "stream_unresolved": "SELECT client, done, total - done AS missing FROM progress WHERE done <> total",

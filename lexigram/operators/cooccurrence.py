@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lexigram.functions.association import association_columns
 from lexigram.functions.stem import stem_columns
 from lexigram.operators.counts import join_key
+from lexigram.operators.stemming import with_stems
+from lexigram.session import stored
 from lexigram.sources.dependency import feature_arcs
 from lexigram.sources.text import not_null
 
@@ -34,7 +36,7 @@ def cooccurrence(parsed: DataFrame, stem: bool = False) -> DataFrame:
 
     A line adds its total to the lexeme itself (feature empty) and to each feature on its root. ``is_pair`` is an
     aggregate on purpose: filters on it stay above the shuffle, so every table cut from this one shares it.
-    With ``stem`` words are pre-counted as written and stemmed afterwards, once per distinct combination.
+    With ``stem`` words are pre-counted as written; every distinct word is then stemmed once and the stems joined back.
     """
     lexeme, total, none = F.col("head").alias("lexeme"), F.col("total").alias("n"), F.lit("")
     own = F.struct(lexeme, none.alias("word"), none.alias("dep"), total, F.lit(False).alias("pair"))
@@ -45,7 +47,7 @@ def cooccurrence(parsed: DataFrame, stem: bool = False) -> DataFrame:
     rows = parsed.select(F.inline(F.when(F.col("reason").isNull(), F.concat(F.array(own), hung))))
     if stem:
         counted = rows.groupBy("lexeme", "word", "dep").agg(F.sum("n").alias("n"), F.max("pair").alias("pair"))
-        rows = stem_columns(counted, "lexeme", "word")
+        rows = with_stems(stored(counted, "counted"), "lexeme", "word")
     feature = F.when(F.col("pair"), F.concat_ws("-", "word", "dep")).otherwise(none)
     return (
         rows.select(not_null("lexeme"), feature.alias("feature"), "n", "pair")
@@ -87,7 +89,7 @@ def associations(counts: DataFrame, vocabulary: DataFrame | None = None) -> Data
     """
     pairs = pair_totals(counts)
     if vocabulary is not None:
-        pairs = pairs.join(vocabulary, "lexeme", "left_semi")
+        pairs = pairs.join(vocabulary.select(join_key("lexeme")), "lexeme", "left_semi")
     totals_of_features = feature_totals(counts).select(join_key("feature"), "count_f")
     rows = pairs.join(lexeme_totals(counts), "lexeme").join(totals_of_features, "feature")
     totals = corpus_totals(counts)

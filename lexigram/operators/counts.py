@@ -18,11 +18,13 @@ def trigram_totals(rows: DataFrame, count: str = "match_count") -> DataFrame:
 def drop_stopwords(trigrams: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Keep trigrams none of whose words is in the list (column ``word``).
 
-    A list hinted for broadcast filters in place; any other list is joined by shuffle.
+    A list hinted for broadcast filters in place; any other list is joined by shuffle, where hot words are split. An outer
+    join with a mark, unlike an anti join, stays above the aggregation of the trigrams, so that their count is shared.
     """
     kept = trigrams
     for place in ("w1", "w2", "w3"):
-        kept = kept.join(stopwords.select(F.col("word").alias(place)), place, "left_anti")
+        listed = stopwords.select(join_key("word", place), F.lit(True).alias("listed"))
+        kept = kept.join(listed, place, "left").where(F.col("listed").isNull()).drop("listed")
     return kept.select(*trigrams.columns)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigram.functions.distance import DISTANCES, MEASURES, SUMS, distance_columns, js_term
+from lexigram.operators.counts import join_key
 
 VALUES = tuple(f"a{m}" for m in MEASURES)
 
@@ -56,7 +57,7 @@ def _with_norms(pairs: DataFrame, norms: DataFrame) -> DataFrame:
     out = pairs.select("w1", "w2")
     names = [c for c in norms.columns if c != "lexeme"]
     for word, side in (("w1", "x"), ("w2", "y")):
-        renamed = norms.select(F.col("lexeme").alias(word), *[F.col(c).alias(f"{side}_{c}") for c in names])
+        renamed = norms.select(join_key("lexeme", word), *[F.col(c).alias(f"{side}_{c}") for c in names])
         out = out.join(renamed, word, "left")
     filled = out.fillna(0, [f"{side}_{c}" for side in "xy" for c in names])
     return filled.where((F.col("x_size") > 0) | (F.col("y_size") > 0))

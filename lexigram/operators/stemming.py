@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexigram.functions.stem import stem_columns
+from lexigram.operators.counts import join_key
 
 
 def stem_vocabulary(words: DataFrame) -> DataFrame:
@@ -13,6 +14,20 @@ def stem_vocabulary(words: DataFrame) -> DataFrame:
     return stem_columns(words.select("word").distinct().withColumn("stem", F.col("word")), "stem")
 
 
+def with_stems(rows: DataFrame, *names: str) -> DataFrame:
+    """``rows`` with the named word columns replaced by their stems.
+
+    Each distinct word is stemmed once, then joined back by a shuffle of its own in which hot words are split. ``rows`` is
+    read once per column and once for the words: give it a written table.
+    """
+    words = rows.select(F.explode(F.array_distinct(F.array(*names))).alias("word"))
+    stems = stem_vocabulary(words)
+    for name in names:
+        stem = stems.select(join_key("word", name), F.col("stem").alias(f"__stem_{name}"))
+        rows = rows.join(stem, name).withColumn(name, F.col(f"__stem_{name}")).drop(f"__stem_{name}")
+    return rows
+
+
 def stemmed_counts(words: DataFrame) -> DataFrame:
     """``(stem, n)`` from counted words ``(word, n)``: stemming runs on the counted vocabulary, not on the text."""
     return (

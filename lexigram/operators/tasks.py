@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexigram.functions.html import REPORT_FOOT, REPORT_HEAD, html_to_text, output_key, text_to_page
+from lexigram.operators.counts import join_key
 
 TEXT_OPERATIONS = ("ToText", "ToHTML")
 
@@ -13,12 +14,16 @@ TEXT_OPERATIONS = ("ToText", "ToHTML")
 def convert(tasks: DataFrame, pages: DataFrame) -> DataFrame:
     """``(client, op, url, status, result, error, content)``, one row per task.
 
-    Only the two text operations look a page up (by URL); the others never enter the join.
+    Only the two text operations look a page up (by URL); the others never enter the join. Only pages that some task asks
+    for are converted, each once; of several pages stored under one URL the smallest text counts.
     Bad tasks never stop the rest: each ends as ``done`` with an output key and content, or as ``error``.
     """
     readable = F.coalesce(F.col("op").isin(*TEXT_OPERATIONS) & F.col("url").isNotNull(), F.lit(False))
-    found = tasks.where(readable).join(pages.select("url", "html"), "url", "left")
-    read = found.select("client", "op", "url", html_to_text(F.col("html")).alias("text"))
+    asked = tasks.where(readable)
+    wanted = asked.select("url").distinct()
+    texts = pages.join(wanted, "url", "left_semi").select("url", html_to_text(F.col("html")).alias("text"))
+    texts = texts.groupBy("url").agg(F.min("text").alias("text")).select(join_key("url"), "text")
+    read = asked.join(texts, "url", "left").select("client", "op", "url", "text")
     other = tasks.where(~readable).select("client", "op", "url", F.lit(None).cast("string").alias("text"))
     error = (
         F.when(F.col("op") == "ToImage", "no page renderer for ToImage")
@@ -60,9 +65,9 @@ def report_lines(results: DataFrame) -> DataFrame:
 
     A report stays a set of lines, so a client with any number of tasks never becomes one row or one group.
     """
-    body = results.select(
-        "client", F.lit(1).alias("section"), F.concat_ws("\t", "op", "url", F.coalesce("result", "error")).alias("line")
-    )
+    outcome = F.coalesce("result", "error", F.lit(""))
+    line = F.concat_ws("\t", F.coalesce("op", F.lit("")), F.coalesce("url", F.lit("")), outcome)  # nulls keep their place
+    body = results.select("client", F.lit(1).alias("section"), line.alias("line"))
     frame = F.array(
         F.struct(F.lit(0).alias("section"), F.lit(REPORT_HEAD).alias("line")),
         F.struct(F.lit(2).alias("section"), F.lit(REPORT_FOOT).alias("line")),

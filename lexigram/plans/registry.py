@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lexigram.functions.distance import MEASURES, cosine, dice, euclid, jaccard, jensen_shannon, manhattan
 from lexigram.functions.html import html_to_text, output_key, text_to_page
+from lexigram.functions.scoring import significant
 from lexigram.operators import cooccurrence as co
 from lexigram.operators import counts as ct
 from lexigram.operators import next_word as nw
@@ -21,7 +22,7 @@ from lexigram.operators.tasks import client_progress, convert, report_lines
 from lexigram.plans import next_word, similarity
 from lexigram.plans import stand_ins as given
 from lexigram.sources import dependency as dep
-from lexigram.sources import lists, ngrams
+from lexigram.sources import lists, ngrams, sinks
 from lexigram.sources.tables import read_table
 from lexigram.sources.text import trigrams_from_text, word_counts
 from lexigram.session import apply_settings, broadcast_if_small, scratch_dir, spread
@@ -32,7 +33,6 @@ QUERIES: dict[str, Query] = {}
 
 STOPWORDS = 20
 NEXT_WORDS = 5
-REPEAT_DELAY = "1 hour"
 
 #: Decimal places per measure of the nine sums and of the distances: PMI sums are large, counts are whole numbers.
 SUM_PLACES = {1: 4, 2: 9, 3: 4, 4: 6}
@@ -124,6 +124,49 @@ def corpus_size_direct(spark, sf_dir):
     return ct.corpus_size_direct(given.trigrams(spark, sf_dir))
 
 
+# ---- files: written to the shared folder and read back ----
+
+
+@query
+def stopword_filter_from_file(spark, sf_dir):
+    counted = given.trigrams(spark, sf_dir)
+    path = scratch_dir(spark, "stopwords")
+    words = ct.most_frequent_words(ct.unigram_totals(ct.pair_roles(counted)), STOPWORDS)
+    words.select(F.col("word").alias("value")).write.text(path)
+    return ct.drop_stopwords(counted, broadcast_if_small(lists.read_word_list(spark, path)))
+
+
+@query
+def sequence_file_counts(spark, sf_dir):
+    path = scratch_dir(spark, "sequence")
+    ngrams.write_sequence_file(given.ngram_lines(spark, sf_dir), path)
+    return ct.trigram_totals(ngrams.parse_ngram_lines(ngrams.read_sequence_file(spark, path)))
+
+
+@query
+def key_value_round_trip(spark, sf_dir):
+    path = scratch_dir(spark, "key-value")
+    sinks.write_key_value(given.trigrams(spark, sf_dir), path, ("w1", "w2", "w3"), ("n",))
+    parts = spark.read.text(path).select(F.split("value", "\t").alias("p")).select(
+        F.split(F.get("p", F.lit(0)), " ").alias("w"), F.get("p", F.lit(1)).cast("bigint").alias("n")
+    )
+    return parts.select(*[F.get("w", F.lit(i)).alias(f"w{i + 1}") for i in range(3)], "n")
+
+
+@query
+def tsv_round_trip(spark, sf_dir):
+    path = scratch_dir(spark, "tsv")
+    sinks.write_tsv(given.trigrams(spark, sf_dir), path)
+    return spark.read.schema("w1 string, w2 string, w3 string, n bigint").option("sep", "\t").option("quote", "\0").csv(path)
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    path = scratch_dir(spark, "csv")
+    sinks.write_csv(given.trigrams(spark, sf_dir), path)
+    return spark.read.schema("w1 string, w2 string, w3 string, n bigint").option("header", True).csv(path)
+
+
 # ---- next-word model ----
 
 
@@ -155,35 +198,40 @@ def interp_weights(spark, sf_dir):
     return rounded(nw.interpolation_weights(given.trigrams(spark, sf_dir)), {"k2": 9, "k3": 9})
 
 
+def _shown(probs: DataFrame) -> DataFrame:
+    """Probabilities to nine significant digits; order and rank come before this."""
+    return probs.withColumn("prob", significant(F.col("prob")))
+
+
 @query
 def next_word_prob(spark, sf_dir):
-    return rounded(next_word.probabilities(given.trigrams(spark, sf_dir)), {"prob": 9})
+    return _shown(next_word.probabilities(given.trigrams(spark, sf_dir)))
 
 
 @query
 def next_word_prob_guarded(spark, sf_dir):
-    return rounded(next_word.probabilities(given.trigrams(spark, sf_dir), guarded=True), {"prob": 9})
+    return _shown(next_word.probabilities(given.trigrams(spark, sf_dir), guarded=True))
 
 
 @query
 def next_word_ranked(spark, sf_dir):
-    return nw.ordered(next_word_prob(spark, sf_dir))
+    return _shown(next_word.ranked(given.trigrams(spark, sf_dir)))
 
 
 @query
 def next_word_topk(spark, sf_dir):
-    return nw.top_k(next_word_prob(spark, sf_dir), NEXT_WORDS)
+    return _shown(next_word.best(given.trigrams(spark, sf_dir), NEXT_WORDS))
 
 
 @query
 def backoff_candidates(spark, sf_dir):
-    return rounded(nw.unseen_scores(given.trigrams(spark, sf_dir)), {"prob": 9})
+    return _shown(nw.unseen_scores(given.trigrams(spark, sf_dir)))
 
 
 @query
 def backoff_scored(spark, sf_dir):
     asked = trigrams_from_text(spread(read_table(spark, sf_dir, "conversations")))
-    return rounded(nw.score_requests(asked, given.trigrams(spark, sf_dir)), {"prob": 9})
+    return _shown(nw.score_requests(asked, given.trigrams(spark, sf_dir)))
 
 
 # ---- co-occurrence ----
@@ -215,6 +263,25 @@ def dep_features(spark, sf_dir):
     return co.features(_parsed(spark, sf_dir))
 
 
+def _irregular(spark, sf_dir):
+    return dep.parse_dependency_lines(given.irregular_dependency_lines(given.trigrams(spark, sf_dir)))
+
+
+@query
+def dep_irregular_roots(spark, sf_dir):
+    return co.roots(_irregular(spark, sf_dir))
+
+
+@query
+def dep_irregular_features(spark, sf_dir):
+    return co.features(_irregular(spark, sf_dir))
+
+
+@query
+def dep_irregular_totals(spark, sf_dir):
+    return co.corpus_totals(co.cooccurrence(_irregular(spark, sf_dir)))
+
+
 @query
 def lexeme_counts(spark, sf_dir):
     return co.lexeme_totals(_cooccurrence(spark, sf_dir))
@@ -269,7 +336,7 @@ def gold_pairs(spark, sf_dir):
 @query
 def gold_vocab_filter(spark, sf_dir):
     pairs = co.pair_totals(_cooccurrence(spark, sf_dir))
-    vocabulary = broadcast_if_small(lists.gold_vocabulary(_gold(spark, sf_dir)))
+    vocabulary = broadcast_if_small(lists.gold_vocabulary(_gold(spark, sf_dir)).select(ct.join_key("lexeme")))
     return pairs.join(vocabulary, "lexeme", "left_semi")
 
 
@@ -408,7 +475,7 @@ def _append(rows):
 
 
 def _progress(spark, sf_dir):
-    rows = stream.progress(_messages(spark, sf_dir), REPEAT_DELAY)
+    rows = stream.progress(_messages(spark, sf_dir))
     return stream.run_latest(rows, "client", scratch_dir(spark, "progress"), scratch_dir(spark, "state"))
 
 
@@ -419,7 +486,12 @@ def stream_results(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    return _append(stream.without_repeats(stream.task_results(_messages(spark, sf_dir)), REPEAT_DELAY)).drop("ts")
+    return _append(stream.without_repeats(stream.task_results(_messages(spark, sf_dir)))).drop("ts")
+
+
+@query
+def rejected_messages(spark, sf_dir):
+    return _append(stream.rejected_messages(_messages(spark, sf_dir))).drop("ts")
 
 
 @query

@@ -16,7 +16,7 @@ from lexigram.sources.ngrams import render_ngram_lines
 from lexigram.sources.tables import read_table
 from lexigram.sources.text import ngram_occurrences, trigrams_from_text
 
-#: Seconds after which an unfinished task is handed out again, and seconds after which it is still open at shutdown.
+#: Run time in seconds after which a task was handed out again, and after which its record tells that it is still open.
 REDELIVERED_AFTER = 30
 OPEN_AFTER = 300
 
@@ -59,6 +59,18 @@ def spoiled_dependency_lines(counted: DataFrame) -> DataFrame:
     return counted.select(F.concat_ws("\t", "w2", arcs, F.col("n").cast("string")).alias("value"))
 
 
+def irregular_dependency_lines(counted: DataFrame) -> DataFrame:
+    """Three lines per trigram: without a root; with a punctuation arc before the root; with two roots."""
+    w1, w2, w3 = F.col("w1"), F.col("w2"), F.col("w3")
+    shapes = F.array(
+        F.concat(w1, F.lit("/X/left/2 "), w2, F.lit("/X/mid/1 "), w3, F.lit("/X/right/2")),
+        F.concat(F.lit(",/X/punct/x "), w2, F.lit("/X/ROOT/0 "), w3, F.lit("/X/right/2 '/X/punct/2 "), w1, F.lit("/X/far/3")),
+        F.concat(w2, F.lit("/X/ROOT/0 "), w1, F.lit("/X/ROOT/0 "), w3, F.lit("/X/first/1 "), w3, F.lit("/X/second/2")),
+    )
+    lines = F.transform(shapes, lambda arcs: F.concat_ws("\t", "w2", arcs, F.col("n").cast("string")))
+    return counted.select(F.explode(lines).alias("value"))
+
+
 def gold_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every two neighbouring words of the benchmark texts; label 1 when they begin with the same letter."""
     pairs = ngram_occurrences(read_table(spark, sf_dir, "benchmark"), 2)
@@ -79,21 +91,26 @@ def task_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(ts, value)``: the result queue of a task fleet, from the events.
 
     An event is a task of its user; ``value`` is its run time in seconds. Slow tasks are delivered twice, the slowest
-    are still open, and every client gets one record announcing its number of tasks.
+    are posted without a result, and every client gets one record announcing its number of tasks. In between stand records
+    that are no messages (conversation turns) and messages without a task (one for each open task).
     """
     events = read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     task, user = F.col("event_id").cast("string"), F.col("user_id")
-    result = F.when(F.col("event_type") == "error", "Error: task failed").otherwise(
-        F.coalesce(output_key(user, task, F.lit("ToText")), F.lit(""))
-    )
-    copies = (
-        F.when(F.col("value") > OPEN_AFTER, F.array().cast("array<int>"))
-        .when(F.col("value") > REDELIVERED_AFTER, F.array(F.lit(0), F.lit(REDELIVERED_AFTER)))
-        .otherwise(F.array(F.lit(0)))
+    is_open = F.col("value") > OPEN_AFTER
+    result = (
+        F.when(is_open, "")
+        .when(F.col("event_type") == "error", "Error: task failed")
+        .otherwise(F.coalesce(output_key(user, task, F.lit("ToText")), F.lit("")))
     )
+    twice = F.array(F.lit(0), F.lit(REDELIVERED_AFTER))
+    copies = F.when(~is_open & (F.col("value") > REDELIVERED_AFTER), twice).otherwise(F.array(F.lit(0)))
     results = events.select(
         "ts", encode(user, F.concat_ws("\t", "event_type", task, result)).alias("value"), F.explode(copies).alias("late")
     ).select((F.col("ts") + F.make_interval(secs=F.col("late"))).alias("ts"), "value")
     totals = events.groupBy("user_id").agg(F.max("ts").alias("ts"), F.count(F.lit(1)).alias("n"))
     announced = F.concat(F.lit(UPLOAD_DONE), F.col("n").cast("string"))
-    return results.unionByName(totals.select("ts", encode(F.col("user_id"), announced).alias("value")))
+    shapeless = events.where(is_open).select("ts", encode(user, F.col("event_type")).alias("value"))
+    no_time = F.lit(None).cast("timestamp").alias("ts")
+    noise = read_table(spark, sf_dir, "conversations").select(no_time, F.col("text").alias("value"))
+    control = totals.select("ts", encode(F.col("user_id"), announced).alias("value"))
+    return results.unionByName(control).unionByName(shapeless).unionByName(noise)
