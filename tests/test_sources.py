@@ -74,6 +74,12 @@ def test_key_value_and_tsv(spark, tmp_path):
     assert texts(tmp_path / "tsv") == ['a\tb\tsay "c"\t0.5']
 
 
+def test_nulls_keep_their_place_in_key_value_lines(spark, tmp_path):
+    df = spark.createDataFrame([("a", None, "c", None, 3)], "w1 string, w2 string, w3 string, prob double, n int")
+    sinks.write_key_value(df, str(tmp_path / "kv"), ("w1", "w2", "w3"), ("n", "prob"))
+    assert texts(tmp_path / "kv") == ["a  c\t3 "]
+
+
 def test_csv_matrix_and_labels(spark, tmp_path):
     values = ", ".join(f"cast({i} + 0.5 as double) as c{i}" for i in range(1, 25))
     matrix = spark.sql(f"select 'a' as w1, 'b' as w2, {values} union all select 'c', 'd', {values}")

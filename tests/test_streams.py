@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexigram.functions.messages import encode
+from lexigram.plans import stand_ins as given
 from lexigram.streaming import tasks as stream
 
 START = datetime(2024, 5, 1)
@@ -37,13 +38,13 @@ def test_results_and_repeats_across_batches(spark, queue, tmp_path):
     assert {(r.task, r.status) for r in every.where("client = 'a'").collect()} == {("t1", "done"), ("t2", "error")}
 
     out, state = str(tmp_path / "once"), str(tmp_path / "once-state")
-    once = stream.without_repeats(results, "1 hour")
+    once = stream.without_repeats(results)
     tasks = lambda rows: sorted((r.client, r.task) for r in rows.collect())
     assert tasks(stream.run_append(once, out, state)) == [("a", "t1"), ("a", "t2"), ("b", "t1"), ("b", "t2")]
 
     # The same query resumes: the earlier deliveries are still known, only the new task is added.
     queue((60, "a", done("t1")), (61, "b", done("t3")))
-    resumed = stream.without_repeats(stream.task_results(stream.read_messages(spark, path, 1)), "1 hour")
+    resumed = stream.without_repeats(stream.task_results(stream.read_messages(spark, path, 1)))
     assert tasks(stream.run_append(resumed, out, state))[-1] == ("b", "t3")
     assert stream.run_append(resumed, out, state).count() == 5
 
@@ -51,9 +52,49 @@ def test_results_and_repeats_across_batches(spark, queue, tmp_path):
 def test_progress_and_unresolved_clients(spark, queue, tmp_path):
     queue((0, "a", done("t1")), (1, "b", done("t1")), (1, "c", done("t1")), (2, "a", "UPLOAD DONE-2"))
     path = queue((30, "a", done("t1")), (31, "a", done("t2")), (32, "b", "UPLOAD DONE-3"), (33, "b", "UPLOAD DONE-3"))
-    progress = stream.progress(stream.read_messages(spark, path, files_per_batch=1), "1 hour")
+    progress = stream.progress(stream.read_messages(spark, path, files_per_batch=1))
     latest = stream.run_latest(progress, "client", str(tmp_path / "out"), str(tmp_path / "state"))
     got = {r.client: (r.done, r.total, r.complete) for r in stream.completed(latest).collect()}
     assert got == {"a": (2, 2, True), "b": (1, 3, False), "c": (1, None, False)}
     left = {r.client: (r.done, r.missing) for r in stream.unresolved(latest).collect()}
     assert left == {"b": (1, 2), "c": (1, None)}
+
+
+def test_results_do_not_depend_on_batches(spark, sf_dir, tmp_path):
+    """The whole queue, a month of events in no order over 8 files, as one micro-batch and file by file."""
+    queue = str(tmp_path / "queue")
+    given.task_messages(spark, sf_dir).repartition(8).write.parquet(queue)
+    seen = []
+    for files in (None, 1):
+        at = lambda name, files=files: str(tmp_path / f"{name}-{files}")
+        read = lambda files=files: stream.read_messages(spark, queue, files)
+        once = stream.run_append(stream.without_repeats(stream.task_results(read())), at("once"), at("once-state"))
+        progress = stream.progress(read())
+        latest = stream.run_latest(progress, "client", at("latest"), at("latest-state"), keep=3)
+        rejected = stream.run_append(stream.rejected_messages(read()), at("bad"), at("bad-state"))
+        tables = (once.drop("ts"), stream.completed(latest), stream.unresolved(latest), rejected.drop("ts"))
+        seen.append([sorted(map(str, t.collect())) for t in tables])
+    assert seen[0] == seen[1] and all(seen[0])
+    kept = sorted(p.name for p in (tmp_path / "latest-1").iterdir())
+    assert sum(n.startswith("snapshot-") for n in kept) == 2 and sum(n.startswith("batch-") for n in kept) <= 6
+
+
+def test_records_without_a_task_disturb_nothing(spark, queue, tmp_path):
+    path = queue((0, "a", "ToText"), (1, "a", done("t1")), (2, "a", "UPLOAD DONE-1"), (3, "a", "ToText\tt2\t"), (4, None, "x"))
+    path = queue((5, "b", "ToText\tt1\t"), (6, "b", done("t1")))
+    progress = stream.progress(stream.read_messages(spark, path, files_per_batch=1))
+    latest = stream.run_latest(progress, "client", str(tmp_path / "out"), str(tmp_path / "state"))
+    assert {r.client: (r.done, r.total, r.complete) for r in stream.completed(latest).collect()} == {
+        "a": (1, 1, True),
+        "b": (1, None, False),
+    }
+    results = stream.without_repeats(stream.task_results(stream.read_messages(spark, path, files_per_batch=1)))
+    rows = stream.run_append(results, str(tmp_path / "rows"), str(tmp_path / "rows-state")).collect()
+    assert sorted((r.client, r.task, r.status) for r in rows) == [
+        ("a", "t1", "done"),
+        ("a", "t2", "open"),
+        ("b", "t1", "done"),
+        ("b", "t1", "open"),
+    ]
+    bad = stream.rejected_messages(spark.read.schema(stream.MESSAGE_SCHEMA).parquet(path)).collect()
+    assert sorted(r.reason for r in bad) == ["fewer than 3 fields", "not a message"]

@@ -100,3 +100,16 @@ def test_messages(spark):
     assert tuple(first) == ("5", 'op\t"u"\tré', None)
     totals = spark.createDataFrame([("UPLOAD DONE-12",), ("UPLOAD DONE-",), ("op\tUPLOAD DONE-3\tx",)], "c string")
     assert [r[0] for r in totals.select(upload_total(F.col("c"))).collect()] == [12, None, None]
+
+
+def test_nulls_keep_their_place_in_reports(results):
+    lines = {r.line for r in report_lines(results[1]).where("client = 'c2' and section = 1").collect()}
+    assert "\thttp://h/a.html\tunknown operation" in lines and "ToText\t\tnot found:" in lines
+
+
+def test_pages_stored_twice_give_one_row_per_task(spark):
+    pages = spark.createDataFrame([("u", "<p>b"), ("u", "<p>a"), ("v", "<p>c")], "url string, html string")
+    tasks = spark.createDataFrame([("c", "ToText", "u"), ("c", "ToHTML", "u"), ("d", "ToText", "u")], TASKS)
+    got = [(r.client, r.op, r.status) for r in convert(tasks, pages).collect()]
+    assert sorted(got) == [("c", "ToHTML", "done"), ("c", "ToText", "done"), ("d", "ToText", "done")]
+    assert {r.content for r in convert(tasks, pages).where("op = 'ToText'").collect()} == {"a"}
