@@ -8,11 +8,11 @@ in which clusters that grow too large are split and tiny ones dropped. About ``L
 longer list gets several shards.
 
 *Graph.* Centroids are linked to their nearest centroids and some far ones. A search starts at fixed entry points and widens
-from every centroid within the asked ratio of the best distance so far, until none is left.
+from every centroid within the asked ratio of the best distance so far, and from the nearest ``WIDTH``, until none is left.
 
-*Search.* A query selects all lists whose centroid is within ``RATIO`` times the distance of its nearest one, and is sent once to
-every shard with such lists. Shards score in blocks of ``QUERY_BLOCK`` queries, and pass on the best ``k + 1`` distinct vectors
-of each query with inner products recomputed in double precision.
+*Search.* A query selects the ``LEAST_LISTS`` nearest lists and all whose centroid is within ``RATIO`` times the distance of the
+nearest one, and is sent once to every shard with such lists. Shards score in blocks of queries, and pass on the best
+``k + 1`` distinct vectors of each query with inner products recomputed in double precision.
 
 Equal vectors are one entry; its ``k + 1`` smallest ids are enough for any answer, ties going to smaller ids. Null ids, vectors
 that are null, zero, of another length than most or that hold null or non-finite components take no part. Rows that share
@@ -35,8 +35,8 @@ from lexigram.session import stored
 K = 20
 SAMPLE, LIST_SIZE, MAX_LISTS = 40_000, 128, 8_192
 BOUNDARY, REPLICAS = 1.1, 4
-RATIO = 1.15
-LINKS, FAR_LINKS, ENTRIES = 16, 4, 32
+RATIO, LEAST_LISTS = 1.15, 8
+LINKS, FAR_LINKS, ENTRIES, WIDTH = 16, 4, 32, 16
 SHARD_ROWS, QUERY_BLOCK = 16_384, 4_096
 
 
@@ -125,15 +125,22 @@ class Graph:
         rest = np.sqrt(np.maximum(0, self.longest**2 - (x * x).sum(1)))
         return np.column_stack([x, rest])
 
+    @staticmethod
+    def _bound(distance: np.ndarray, ratio: float) -> float:
+        width = min(WIDTH, len(distance)) - 1
+        nearest = np.partition(distance, width)[: width + 1]
+        return max(nearest.min() * ratio, nearest[np.isfinite(nearest)].max())
+
     def within(self, point: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
-        """Centroids found within ``ratio`` times the least distance, nearest first, and their distances."""
+        """Centroids found within ``ratio`` times the least distance, and the nearest ``WIDTH`` at least; nearest first, with
+        their distances."""
         distance = np.full(len(self.centres), np.inf)
         opened = np.zeros(len(self.centres), bool)
         new = self.entries
         while len(new):
             gap = self.centres[new] - point
             distance[new] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
-            bound = distance.min() * ratio
+            bound = self._bound(distance, ratio)
             wave = np.flatnonzero((distance <= bound) & ~opened)
             if not len(wave):
                 break
@@ -145,7 +152,7 @@ class Graph:
                 new = wave[:0]
                 if ((distance <= bound) & ~opened).any():
                     continue
-        found = np.flatnonzero(distance <= distance.min() * ratio)
+        found = np.flatnonzero(distance <= self._bound(distance, ratio))
         order = found[np.argsort(distance[found], kind="stable")]
         return order, distance[order]
 
@@ -156,7 +163,8 @@ def postings(entries: DataFrame, graph) -> DataFrame:
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         g, lists, rows = graph.value, [], []
         for row, point in enumerate(g.lifted(_matrix(batch.column(1)))):
-            taken = g.within(point, BOUNDARY)[0][:REPLICAS]
+            order, distance = g.within(point, BOUNDARY)
+            taken = order[distance <= BOUNDARY * distance[0]][:REPLICAS]
             lists += taken.tolist()
             rows += [row] * len(taken)
         chosen = batch.take(pa.array(rows, pa.int32()))
@@ -188,7 +196,8 @@ def _route(queries: DataFrame, graph, shards: dict[int, list[int]], blocks: int)
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         g, names, where, chosen = graph.value, [], [], []
         for row, point in enumerate(g.lifted(_matrix(batch.column(1)), query=True)):
-            order, _ = g.within(point, RATIO)
+            order, distance = g.within(point, RATIO)
+            order = order[(distance <= RATIO * distance[0]) | (np.arange(len(order)) < LEAST_LISTS)]
             by_shard: dict[int, list[int]] = {}
             for c in order.tolist():
                 for s in shards.get(c, ()):
@@ -213,26 +222,24 @@ def _search(k: int):
         if len(rows) and len(queries):
             rows = rows.sort_values(["entry", "list"], ignore_index=True)
             entries, first = np.unique(rows["entry"].to_numpy(), return_index=True)
-            owner = np.repeat(np.arange(len(entries)), np.diff(np.append(first, len(rows))))
             vectors, lists = _matrix(rows["vec"].iloc[first]), rows["list"].to_numpy()
-            asked = _matrix(queries["vec"])
-            chosen = np.zeros(int(lists.max()) + 1, bool)
-            for at, (query, wanted) in enumerate(zip(queries["query_id"].tolist(), queries["lists"])):
-                wanted = np.frombuffer(wanted, "<i4")
-                wanted = wanted[wanted < len(chosen)]
-                chosen[wanted] = True
-                held = np.unique(owner[chosen[lists]])
-                chosen[wanted] = False
-                if not len(held):
-                    continue
-                some = vectors[held]
-                rough = some @ asked[at]
-                best = np.argpartition(-rough, 2 * k)[: 2 * k + 1] if len(held) > 2 * k else np.arange(len(held))
-                score = (some[best] * asked[at]).sum(1)
-                order = np.lexsort((entries[held[best]], -score))[: k + 1]
-                out["query_id"] += [query] * len(order)
-                out["entry"] += entries[held[best[order]]].tolist()
-                out["score"] += score[order].tolist()
+            asked, names = _matrix(queries["vec"]), queries["query_id"].tolist()
+            selected = [np.frombuffer(x, "<i4") for x in queries["lists"]]
+            chosen = np.zeros(int(max(lists.max(), max(x.max() for x in selected))) + 1, bool)
+            for begin in range(0, len(asked), 128):
+                rough = asked[begin : begin + 128] @ vectors.T
+                for at in range(begin, begin + len(rough)):
+                    chosen[selected[at]] = True
+                    held = np.flatnonzero(np.logical_or.reduceat(chosen[lists], first))
+                    chosen[selected[at]] = False
+                    near = rough[at - begin, held]
+                    if len(held) > 2 * k:
+                        held = held[np.argpartition(-near, 2 * k)[: 2 * k + 1]]
+                    score = (vectors[held] * asked[at]).sum(1)
+                    order = np.lexsort((entries[held], -score))[: k + 1]
+                    out["query_id"] += [names[at]] * len(order)
+                    out["entry"] += entries[held[order]].tolist()
+                    out["score"] += score[order].tolist()
         return pd.DataFrame(out).astype({"query_id": "int64", "entry": "int64", "score": "float64"})
 
     return run
