@@ -1,4 +1,4 @@
-"""The queries of this folder: ``(spark, sf_dir) -> DataFrame`` over whole tables, and SQL for those that SQL can express."""
+"""The queries of this folder: ``(spark, sf_dir) -> DataFrame`` over whole tables."""
 
 from __future__ import annotations
 
@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexigram.llm import decontaminate, licences, minhash, neighbours, packing, pages, quality, secrets, token_counts, token_files
 from lexigram.llm.common import table
+from lexigram.llm.oracle import LLM_ORACLE
+
+__all__ = ["LLM_ORACLE", "LLM_QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
-LLM_ORACLE: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:

@@ -1,0 +1,12 @@
+import pytest
+
+from checks.compare import differences, views
+from lexigram.llm.queries import LLM_ORACLE, LLM_QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(LLM_ORACLE))
+def test_query_equals_sql(spark, name):
+    got = LLM_QUERIES[name](spark, SF).toPandas()
+    assert len(got) > 0 and differences(got, views(SF).execute(LLM_ORACLE[name]).df()) == ""

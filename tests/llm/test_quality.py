@@ -46,7 +46,7 @@ def test_features_of_simple_texts():
     rows = q.measure(pa.array(["The cat. THE cat\nthe", None, "", "a!! a!! | $"], pa.string()))
     named = [dict(zip(q.FEATURES, r)) for r in rows]
     assert named[0]["log_words"] == np.log1p(5) and named[0]["line_words"] == 2.5 and named[0]["distinct_words"] == 3 / 5
-    assert named[0]["upper"] == 4 / 20 and named[0]["distinct_lines"] == 1 and named[0]["top_word"] == 2 / 5
+    assert named[0]["upper"] == 4 / 20 and named[0]["distinct_lines"] == 1 and named[0]["top_word"] == 3 / 5
     assert named[3]["bars"] == 1 / 11 and named[3]["repeats_last_word"] == 1 / 4 and named[3]["distinct_pairs"] == 1
     assert np.isfinite(rows).all() and np.array_equal(rows[1], rows[2])
 
