@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -24,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """``(doc, text)``: whole rows in one column, out of the way of the columns that an operator adds."""
+    return docs.select(F.struct(*docs.columns).alias("doc"), "text")
+
+
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``make`` over Arrow batches, each on its own."""
     importable(df.sparkSession)

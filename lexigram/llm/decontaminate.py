@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigram.llm.common import importable, map_batches
+from lexigram.llm.common import boxed, importable, map_batches
 from lexigram.llm.words import ALNUM, Words, blocks, doc_runs, runs
 from lexigram.session import stored
 
@@ -138,12 +138,12 @@ def n_hit() -> F.Column:
 
 def clean_documents(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """Documents without any hit, with their own columns."""
-    return scan(docs, items, **how).where(F.size("ranges") == 0).select(*docs.columns)
+    return scan(boxed(docs), items, **how).where(F.size("ranges") == 0).select("doc.*")
 
 
 def cut_spans(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """All documents; covered words, and what stands between them, are cut out of ``text``."""
-    found = scan(docs, items, **how)
+    found = scan(boxed(docs), items, **how)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         at = batch.schema.get_field_index("text")
@@ -158,7 +158,8 @@ def cut_spans(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
         columns = [pa.array(cut, pa.string()) if k == at else c for k, c in enumerate(batch.columns)]
         return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return map_batches(found, make, found.schema).select(*docs.columns)
+    cut = map_batches(found, make, found.schema)
+    return cut.select(*["text" if c == "text" else F.col(f"doc.{c}") for c in docs.columns])
 
 
 def report(docs: DataFrame, items: DataFrame, **how) -> DataFrame:

@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by inner product over balanced posting lists.
 
 *Lists.* Vectors get one more component that brings all to the largest length, so the largest inner product is the smallest
-distance. Centroids are fitted on the driver to a bounded sample (``SAMPLE`` vectors with the smallest hash of their id): k-means
+distance. Centroids are fitted on the driver to a bounded sample (``SAMPLE`` vectors with the smallest hash of their id, less
+where that is over ``SAMPLE_BYTES``; at least four for each centroid): k-means
 in which clusters that grow too large are split and tiny ones dropped. About ``LIST_SIZE`` vectors belong to a centroid, up to
 ``MAX_LISTS`` centroids. Every vector is indexed: it joins the list of its nearest centroid and, near a boundary, of up to
 ``REPLICAS`` centroids within ``BOUNDARY`` times that distance. Lists are dealt into shards of about ``SHARD_ROWS`` rows; a
@@ -33,7 +34,7 @@ from lexigram.llm.common import importable, map_batches
 from lexigram.session import stored
 
 K = 20
-SAMPLE, LIST_SIZE, MAX_LISTS = 40_000, 128, 8_192
+SAMPLE, SAMPLE_BYTES, LIST_SIZE, MAX_LISTS = 40_000, 64 << 20, 128, 8_192
 BOUNDARY, REPLICAS = 1.1, 4
 RATIO, LEAST_LISTS = 1.15, 8
 LINKS, FAR_LINKS, ENTRIES, WIDTH = 16, 4, 32, 16
@@ -261,10 +262,12 @@ def search(vectors: DataFrame, is_query: F.Column, k: int = K) -> DataFrame:
     entries = members.where("place = 1").select("entry", "vec")
     n = entries.count()
 
-    sample = entries.orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE).select("vec").toArrow().column(0)
-    plain = _matrix(sample) if n else np.zeros((1, dims["dim"] if dims else 1))
+    width = dims["dim"] if dims else 1
+    n_sample = min(SAMPLE, max(64, SAMPLE_BYTES // (8 * width)))
+    sample = entries.orderBy(F.xxhash64("entry"), "entry").limit(n_sample).select("vec").toArrow().column(0)
+    plain = _matrix(sample) if n else np.zeros((1, width))
     points = Graph(plain, plain, plain, longest).lifted(plain)
-    n_lists = min(MAX_LISTS, -(-max(1, n) // LIST_SIZE))
+    n_lists = min(MAX_LISTS, max(1, len(plain) // 4), -(-max(1, n) // LIST_SIZE))
     graph = spark.sparkContext.broadcast(Graph.build(fit_centroids(points, n_lists), longest))
 
     held = stored(postings(entries, graph), "postings")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigram.llm.common import importable, map_batches
+from lexigram.llm.common import boxed, importable, map_batches
 from lexigram.llm.words import NOT_BLANK, Words, blocks, buffer, doc_runs
 from lexigram.session import stored
 
@@ -302,4 +302,4 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents that are not rejected, with their own columns."""
-    return scored(docs, train(docs, labels)).where(F.col("score") >= THRESHOLD).select(*docs.columns)
+    return scored(boxed(docs), train(docs, labels)).where(F.col("score") >= THRESHOLD).select("doc.*")

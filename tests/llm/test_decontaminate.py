@@ -57,6 +57,7 @@ def test_documents_or_spans_go(spark, docs):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     clean = d.clean_documents(table, items)
     assert clean.columns == table.columns and sorted(r.doc_id for r in clean.collect()) == [1, 3, 4]
+    assert {(r["items"], r.n_words) for r in clean.collect()} == {("x", 7)}
     cut = {r.doc_id: r.text for r in d.cut_spans(table, items).collect()}
     assert cut[0] == "so  and more" and cut[2] == "a , and a  short" and cut[1] == TEXTS[1] and cut[4] is None
 

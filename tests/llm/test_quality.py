@@ -70,7 +70,8 @@ def test_odd_labels_and_documents(spark, docs):
     for some, want in ((labels.limit(0), 0.5), (labels.where("quality = 1").where("doc_id < 40"), 1.0)):
         assert q.report(table, some).first().score == pytest.approx(want, abs=0.01)
     assert q.report(table.limit(0), labels).count() == 0
-    assert q.accepted(table, labels).columns == table.columns
+    kept = q.accepted(table, labels)
+    assert kept.columns == table.columns and {r.score for r in kept.collect()} == {1.5}
 
 
 def test_held_out_rows_follow_the_checksum(spark):

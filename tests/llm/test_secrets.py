@@ -59,6 +59,7 @@ def test_masks(docs):
     got = s.masked(table)
     assert got.columns == table.columns
     texts = {r.doc_id: r.text for r in got.collect()}
+    assert {(r.blob, r.spans) for r in got.collect()} == {("y", "z")}
     assert texts[0] == "😀é [assign] token: 'x' secret: token: abcdefghijklmnop" and texts[1] is None and texts[2] == ""
     assert texts[3] == "[access] AKIAXX [hex]" and texts[7] == "[github] end" and texts[5].endswith("x [assign]\"")
 
