@@ -14,7 +14,7 @@ from lexigram.functions.messages import UPLOAD_DONE, encode
 from lexigram.session import spread
 from lexigram.sources.ngrams import render_ngram_lines
 from lexigram.sources.tables import read_table
-from lexigram.sources.text import ngram_occurrences, trigrams_from_text
+from lexigram.sources.text import ngram_occurrences, trigrams_from_text, words
 
 #: Run time in seconds after which a task was handed out again, and after which its record tells that it is still open.
 REDELIVERED_AFTER = 30
@@ -29,20 +29,22 @@ def trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trigrams_from_text(documents(spark, sf_dir))
 
 
-def _yearly(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
-    year = (1990 + F.pmod(F.col("doc_id"), F.lit(30))).cast("int").alias("year")
-    grams = ngram_occurrences(documents(spark, sf_dir), size, keep=(year,))
-    return grams.groupBy("year", *[f"w{i + 1}" for i in range(size)]).agg(F.count(F.lit(1)).alias("match_count"))
-
-
 def ngram_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yearly 3-gram lines (the year follows the document), with 2-gram lines and conversation turns among them."""
-    grams = [
-        render_ngram_lines(_yearly(spark, sf_dir, size), tuple(f"w{i + 1}" for i in range(size)), "year", "match_count")
-        for size in (3, 2)
-    ]
+    """Yearly 3-gram lines (the year follows the document), with 2-gram lines and conversation turns among them.
+
+    Both sizes come from one pass over the words and one count; a 2-gram has no third word.
+    """
+    year = (1990 + F.pmod(F.col("doc_id"), F.lit(30))).cast("int").alias("year")
+    tokens = documents(spark, sf_dir).select(year, words(F.col("text")).alias("ws"))
+    grams = []
+    for size in (3, 2):
+        n = F.greatest(F.size("ws") - (size - 1), F.lit(0))
+        shifted = [F.slice("ws", i + 1, n) for i in range(size)] + [F.array_repeat(F.lit(None).cast("string"), n)] * (3 - size)
+        grams.append(F.arrays_zip(*shifted).cast("array<struct<w1:string,w2:string,w3:string>>"))
+    rows = tokens.select("year", F.inline(F.concat(*grams)))
+    counted = rows.groupBy("year", "w1", "w2", "w3").agg(F.count(F.lit(1)).alias("match_count"))
     turns = read_table(spark, sf_dir, "conversations").select(F.col("text").alias("value"))
-    return grams[0].unionByName(grams[1]).unionByName(turns)
+    return render_ngram_lines(counted, ("w1", "w2", "w3"), "year", "match_count").unionByName(turns)
 
 
 def dependency_lines(counted: DataFrame) -> DataFrame:
