@@ -88,11 +88,11 @@ class Node:
             self.named = " ".join(names)
             self.main |= self.role == "main"
 
-    def dropped(self) -> bool:
+    def dropped(self, by_name: bool = True) -> bool:
         """Whether the element itself says that it isn't part of an article."""
         if self.tag in _DROPPED or self.role in _ROLES or self.role == "hidden":
             return True
-        return bool(self.named) and self.tag not in ("html", "body", "main") and bool(_NAMED.search(self.named))
+        return by_name and bool(self.named) and self.tag not in ("html", "body", "main") and bool(_NAMED.search(self.named))
 
 
 def parse(html: str) -> Node:
@@ -164,12 +164,16 @@ def hash_subtrees(root: Node) -> None:
 
 
 def _main_nodes(root: Node) -> list[Node]:
-    """Outermost article elements; else outermost elements that hold the main text; else the whole page."""
-    for wanted in (lambda n: n.tag == "article", lambda n: n.main):
+    """Outermost article elements; else outermost elements that hold the main text; else the whole page.
+
+    Names like "with-sidebar" may stand on an element around the article: they only count where an article is found besides.
+    """
+    tests, empty = (lambda n: n.tag == "article", lambda n: n.main), []
+    for wanted, by_name in [(t, b) for b in (True, False) for t in tests]:
         found, todo = [], [root]
         while todo:
             node = todo.pop()
-            if node is not root and node.dropped():
+            if node is not root and node.dropped(by_name):
                 continue
             if wanted(node):
                 found.append(node)
@@ -177,7 +181,8 @@ def _main_nodes(root: Node) -> list[Node]:
                 todo.extend(c for c in reversed(node.children) if isinstance(c, Node))
         if any(n.chars for n in found):
             return found
-    return [root]
+        empty = empty or found
+    return empty or [root]
 
 
 def removable(root: Node) -> list[int]:
@@ -200,7 +205,17 @@ def removable(root: Node) -> list[int]:
 
 
 def main_text(root: Node, templates: frozenset[int] = frozenset()) -> str:
-    """Blocks of the article, without templates and what isn't article."""
+    """Blocks of the article, without templates and what isn't article.
+
+    Names that leave nothing of a page of several paragraphs without an article don't count.
+    """
+    text = _blocks_text(root, templates, True)
+    if text or _main_nodes(root) != [root] or sum(n.tag == "p" and n.chars > 0 for n in _post_order(root)) < 2:
+        return text
+    return _blocks_text(root, templates, False)
+
+
+def _blocks_text(root: Node, templates: frozenset[int], by_name: bool) -> str:
     blocks: list[list[str]] = [[]]
     mains = _main_nodes(root)
     whole = mains == [root]
@@ -217,7 +232,7 @@ def main_text(root: Node, templates: frozenset[int] = frozenset()) -> str:
                     blocks[-1].append(item)
                 continue
             if item is not top:
-                if item.dropped() or (item.key in templates and (whole or item.tag not in _TEXT_BLOCKS)):
+                if item.dropped(by_name) or (item.key in templates and (whole or item.tag not in _TEXT_BLOCKS)):
                     continue
                 headings = (headings or item.tag == "header") and item.tag not in _HEADINGS
             blocks.append([])

@@ -22,6 +22,10 @@ SF = "/root/testdata/sf0.001"
         ('<main><p>x</p><div class="user-comments"><p>c</p></div><aside>s</aside><form>f</form></main>', "x"),
         ('<body class="has-sidebar"><div id="cookie-notice">ok</div><p hidden>h</p><p>x</p></body>', "x"),
         ('<article><p>x</p></article><div class="comments"><article><p>reader</p></article></div>', "x"),
+        ('<div class="with-sidebar"><article><p>x</p><div class="share">s</div></article></div>', "x"),
+        ('<div class="has-menu"><p>x</p><p>y</p></div>', "x\ny"),
+        ('<div class="ad"><p>a</p></div><article> </article><div class="ad"><p>b</p></div>', ""),
+        ('<div class="ad"><p>a</p></div>', ""),
         ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
         ("<p>" + "word " * 50_000, ("word " * 50_000).strip()),
     ],
