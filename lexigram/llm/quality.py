@@ -200,8 +200,9 @@ def _quarters(g: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
     gain = sum(_gain(x, y) for x, y in zip(parts(cg, total_g), parts(ch, total_h))) - _gain(total_g, total_h)
     r, c = np.unravel_index(int(np.argmax(gain)), gain.shape)
     out = np.empty_like(g)
-    for at in ((slice(0, r + 1), slice(0, c + 1)), (slice(0, r + 1), slice(c + 1, None)), (slice(r + 1, None), slice(0, c + 1)), (slice(r + 1, None), slice(c + 1, None))):
-        out[at] = _leaf(g[at].sum(), h[at].sum())
+    for rows in (slice(0, r + 1), slice(r + 1, None)):
+        for cols in (slice(0, c + 1), slice(c + 1, None)):
+            out[rows, cols] = _leaf(g[rows, cols].sum(), h[rows, cols].sum())
     return float(gain[r, c]), out
 
 

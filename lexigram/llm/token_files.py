@@ -36,7 +36,10 @@ SEGMENT, BLOCK, LANES = 1_000_000, 131_072, 1024
 _LOW = np.uint64(1 << 31)
 _32, _MASK32 = np.uint64(32), np.uint64(0xFFFFFFFF)
 
-SCHEMA = "part bigint, segment bigint, first_id bigint, n_ids bigint, bits int, frequencies binary, blocks array<binary>, checksums array<bigint>, doc_ids binary, doc_nulls binary, doc_lengths binary"
+SCHEMA = (
+    "part bigint, segment bigint, first_id bigint, n_ids bigint, bits int, frequencies binary, blocks array<binary>,"
+    " checksums array<bigint>, doc_ids binary, doc_nulls binary, doc_lengths binary"
+)
 
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
