@@ -1,4 +1,3 @@
-import pytest
 
 from lexigram.functions.stem import stem_columns
 from lexigram.operators.stemming import stem_vocabulary, stemmed_counts
