@@ -46,7 +46,7 @@ T = ROWS * BANDS
 MARGIN = 0.25
 BLOCK = 512
 #: A block with more candidate pairs than this per member verifies them itself and passes on the links only.
-DENSE = 2
+DENSE = 16
 BEST_TURNS = 1
 #: Bucket members that one task compares at a time, whole blocks.
 SHARD = 16_384

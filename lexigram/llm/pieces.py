@@ -18,7 +18,7 @@ import pyarrow as pa
 from lexigram.llm.words import buffer, span_hashes
 
 #: Pieces kept, about 40 bytes each; a full table starts anew.
-MAX_PIECES = 2_500_000
+MAX_PIECES = 1_200_000
 
 _ALNUM = np.zeros(256, bool)
 _ALNUM[48:58] = _ALNUM[65:91] = _ALNUM[97:123] = True

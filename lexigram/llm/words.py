@@ -47,7 +47,7 @@ def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(column: pa.Array, size: int = 4 * STRETCH) -> Iterator[tuple[int, int]]:
+def blocks(column: pa.Array, size: int = 2 * STRETCH) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes; a longer text is a range of its own."""
     _, offsets = buffer(column)
     first = 0
