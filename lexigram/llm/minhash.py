@@ -325,7 +325,8 @@ def one_per_class(docs: DataFrame) -> DataFrame:
     """One document of each class, with its own columns; of rows that repeat an id, one. Rows without an id stay."""
     found = classes(docs).where("doc_id = component_id")
     kept = stored(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies")), "kept")
-    once = docs.join(kept.where("copies = 1"), "doc_id", "left_semi")
+    # hashed ids of one side are the smaller half at any size: texts are shuffled once and never sorted
+    once = docs.join(kept.where("copies = 1").hint("shuffle_hash"), "doc_id", "left_semi")
     if not kept.where("copies > 1").isEmpty():
         once = once.unionByName(docs.join(kept.where("copies > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     return once.unionByName(docs.where("doc_id is null")).select(*docs.columns)
