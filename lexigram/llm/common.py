@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -30,6 +32,13 @@ def boxed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*docs.columns).alias("doc"), "text")
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``make`` over Arrow batches, each on its own."""
     importable(df.sparkSession)
@@ -38,6 +47,7 @@ def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch |
         for batch in batches:
             if batch.num_rows and (out := make(batch)) is not None:
                 yield out
+        release()
 
     return df.mapInArrow(run, schema)
 

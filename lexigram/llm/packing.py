@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigram.llm.common import importable, vocabulary_text
+from lexigram.llm.common import importable, release, vocabulary_text
 from lexigram.llm.pieces import encoder
 from lexigram.llm.words import blocks
 
@@ -116,6 +116,8 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", window: int = W
                     sequence, names, ids, tokens = sequence + used, [], [], 0
         if names:
             yield _packed(names, ids, sequence)[0]
+        del names, ids
+        release()
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, SCHEMA)
 

@@ -49,7 +49,8 @@ def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def blocks(column: pa.Array, size: int = 2 * STRETCH) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes; a longer text is a range of its own."""
-    _, offsets = buffer(column)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
