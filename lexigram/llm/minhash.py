@@ -13,8 +13,8 @@ all buckets with probability ``(1 - 0.75 ** 4) ** 32 = 5e-6``, one at 0.8 with 5
 
 *Links without all pairs.* Only pairs whose sizes allow the threshold and whose byte sketches agree to within ``MARGIN`` of it
 (over six standard deviations) are verified, by intersecting full sets. First every document is compared with the smallest
-document it meets in any bucket. Buckets whose members are then in one component need nothing more. In the others, blocks of at
-most ``BLOCK`` members meet in numpy: for ``BEST_TURNS`` turns every document is compared with the member of another component
+document it meets in any bucket. Buckets whose members are then in one component need nothing more. In the others, parts of some
+``BLOCK`` members, dealt by component, meet in numpy, never two parts of one component: for ``BEST_TURNS`` turns every document is compared with the member of another component
 whose sketch is closest, which joins groups around their originals; the last turn verifies every pair that is left between
 different components, each in its first common bucket. Blocks with few candidates pass them on as pairs; in dense blocks (many
 documents just below the threshold) the full sets come to the block, and only links leave it. No bucket, partner or candidate
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexigram.llm.common import importable, map_batches
@@ -127,14 +127,14 @@ def _allowed(sizes: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class _Block:
-    """Rows of one or two parts of a bucket: key, part, doc, comp, n, sketch, bands."""
+    """Rows of one or two parts of a bucket: key, part_a, part_b, part, doc, comp, n, sketch, bands."""
 
     def __init__(self, rows: pd.DataFrame):
         self.docs, self.comps, self.sizes, self.parts = (rows[c].to_numpy() for c in ("doc", "comp", "n", "part"))
         self.sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
         bands = np.vstack(rows["bands"])
         self.earlier = bands[:, : int(np.flatnonzero(bands[0] == rows["key"].iloc[0])[0])]
-        self.two_parts = len(np.unique(self.parts)) > 1
+        self.two_parts = rows["part_a"].iloc[0] != rows["part_b"].iloc[0]
 
     def candidates(self, i: int, begin: int) -> tuple[np.ndarray, np.ndarray]:
         """Members from ``begin`` on that ``i`` may be linked with, and estimates; pairs meet in their first bucket only."""
@@ -235,18 +235,41 @@ def _screened(pairs: DataFrame, items: DataFrame) -> DataFrame:
     return map_batches(sized.select("a", "b", "sketch_a", "sketch_b"), make, "a bigint, b bigint").distinct()
 
 
+def _parts(members: DataFrame) -> DataFrame:
+    """``(key, comp, n_comp, begin, width, parts)``: a bucket's parts, by component. A component of more than half a block has
+    ``width`` parts of its own from ``begin`` on; smaller ones share the first ``width`` parts."""
+    sizes = stored(members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n_comp")), "sizes")
+    large = F.col("n_comp") * 2 > BLOCK
+    width = F.when(large, F.ceil(F.col("n_comp") / BLOCK)).otherwise(F.lit(0)).cast("int")
+    own = sizes.where(large).withColumn("width", width)
+    before = Window.partitionBy("key").orderBy("comp").rowsBetween(Window.unboundedPreceding, -1)
+    own = own.select("key", "comp", "width", F.coalesce(F.sum("width").over(before), F.lit(0)).cast("int").alias("after"))
+    rest = F.ceil(F.sum(F.when(~large, F.col("n_comp")).otherwise(0)) / BLOCK).cast("int")
+    whole = stored(sizes.groupBy("key").agg(rest.alias("shared"), (rest + F.sum(width).cast("int")).alias("parts")), "whole")
+    dealt = sizes.join(own, ["key", "comp"], "left").join(whole, "key")
+    begin = F.when(F.col("width").isNull(), 0).otherwise(F.col("shared") + F.col("after"))
+    return dealt.select("key", "comp", "n_comp", begin.alias("begin"), F.coalesce("width", "shared").alias("width"), "parts")
+
+
 def _blocked(members: DataFrame, items: DataFrame) -> DataFrame:
-    """Members of buckets (key, doc, comp) with size, sketch and bands, dealt into blocks, and blocks into shards of bounded size."""
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("total"))
-    cut = members.join(sizes, "key").withColumn("parts", F.ceil(F.col("total") / BLOCK).cast("int"))
-    part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
-    others = F.sequence(F.lit(0), F.col("parts") - 1)
-    dealt = cut.withColumn("part", part).withColumn("other", F.explode(others))
-    n_rows = members.count()
-    shards = max(1, n_rows // SHARD)
+    """Members of buckets (key, doc, comp) with size, sketch and bands, dealt into blocks, and blocks into shards of bounded size.
+
+    Members of one component are not sent to meet each other: parts of a large component meet the other parts only, and a small
+    one stays within one part.
+    """
+    parts = stored(_parts(members), "parts")
+    alone = 2 * F.col("n_comp") > BLOCK
+    copies = F.col("parts") - F.when(alone, F.col("width")).otherwise(0)
+    shards = max(1, (parts.agg(F.sum(F.col("n_comp") * copies).alias("n")).first()["n"] or 0) // SHARD)
+    mark = F.xxhash64(F.when(alone, F.col("doc")).otherwise(F.col("comp")))
+    part = (F.col("begin") + F.pmod(mark, F.col("width"))).cast("int")
+    met = F.filter(
+        F.sequence(F.lit(0), F.col("parts") - 1), lambda x: ~alone | (x < F.col("begin")) | (x >= F.col("begin") + F.col("width"))
+    )
+    held = members.join(parts, ["key", "comp"]).join(items, "doc").where(F.array_contains("bands", F.col("key")))  # an id may have several texts
+    dealt = held.withColumn("part", part).withColumn("other", F.explode(met))
     own = [F.least("part", "other").alias("part_a"), F.greatest("part", "other").alias("part_b")]
-    held = dealt.join(items, "doc").where(F.array_contains("bands", F.col("key")))  # an id may have several texts
-    rows = held.select("key", *own, "part", "doc", "comp", "n", "sketch", "bands")
+    rows = dealt.select("key", *own, "part", "doc", "comp", "n", "sketch", "bands")
     return rows.withColumn("shard", F.pmod(F.xxhash64(*BLOCK_KEY), F.lit(shards)))
 
 

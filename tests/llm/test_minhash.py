@@ -1,4 +1,5 @@
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +70,35 @@ def test_components_against_brute_force(docs, monkeypatch):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def dealt(spark, comps):
+    """Blocks of one bucket whose member ``i`` is in component ``comps[i]``."""
+    members = spark.createDataFrame([(7, i, c) for i, c in enumerate(comps)], "key bigint, doc bigint, comp bigint")
+    items = spark.range(len(comps)).selectExpr("id as doc", "id as n", "binary('s') as sketch", "array(7L) as bands")
+    return m._blocked(members, items).collect()
+
+
+def test_shards_and_copies_of_a_hot_bucket_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(m, "BLOCK", 8)
+    monkeypatch.setattr(m, "SHARD", 256)
+    rows = dealt(spark, range(400))  # 400 components: every member meets all others
+    assert max(Counter(r.shard for r in rows).values()) < 4 * m.SHARD
+    rows = dealt(spark, [0] * 999 + [1])  # settled but for one member
+    assert len(rows) < 1200
+    comps = [0] * 60 + [1] * 30 + [2] * 5 + [3, 4, 5, 5]
+    blocks = defaultdict(list)
+    for r in dealt(spark, comps):
+        blocks[r.part_a, r.part_b].append(r)
+    met = Counter(
+        (a.doc, b.doc)
+        for (x, y), found in blocks.items()
+        for a in found
+        for b in found
+        if a.doc < b.doc and a.comp != b.comp and (x == y or a.part != b.part)
+    )
+    pairs = {(i, j) for j in range(len(comps)) for i in range(j) if comps[i] != comps[j]}
+    assert met == dict.fromkeys(pairs, 1)
+
+
 def test_repeated_and_null_ids(docs):
     rows = [(1, "a b c d e f"), (1, "u v w x y z"), (2, "u v w x y z"), (None, "u v w x y z"), (3, "a b c d e f"), (4, "q"), (4, "q")]
     got = m.report(docs(*rows)).collect()
