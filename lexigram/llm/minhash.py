@@ -9,7 +9,7 @@ every coordinate fills after ``T`` more rounds at the latest, mostly after two o
 Jaccard similarity with the concentration of independent draws.
 
 *Candidates.* Equal sets are one item. ``BANDS`` bands of ``ROWS`` coordinates make bucket keys; a pair at the threshold misses
-all buckets with probability ``(1 - 0.75 ** 4) ** 32 = 5e-6``, one at 0.8 with 5e-8.
+all buckets with probability ``(1 - 0.75 ** 4) ** 40 = 2.5e-7``, one at 0.8 with 7e-10.
 
 *Links without all pairs.* Only pairs whose sizes allow the threshold and whose byte sketches agree to within ``MARGIN`` of it
 (over six standard deviations) are verified, by intersecting full sets. First every document is compared with the smallest
@@ -41,7 +41,7 @@ from lexigram.session import broadcast_if_small, stored
 
 SHINGLE = 5
 PERCENT = 75
-ROWS, BANDS = 4, 32
+ROWS, BANDS = 4, 40
 T = ROWS * BANDS
 MARGIN = 0.25
 BLOCK = 512

@@ -99,6 +99,10 @@ def test_shards_and_copies_of_a_hot_bucket_are_bounded(spark, monkeypatch):
     assert met == dict.fromkeys(pairs, 1)
 
 
+def test_bands_miss_a_pair_at_the_threshold_once_in_millions():
+    assert (1 - (m.PERCENT / 100) ** m.ROWS) ** m.BANDS < 3e-7
+
+
 def test_repeated_and_null_ids(docs):
     rows = [(1, "a b c d e f"), (1, "u v w x y z"), (2, "u v w x y z"), (None, "u v w x y z"), (3, "a b c d e f"), (4, "q"), (4, "q")]
     got = m.report(docs(*rows)).collect()
