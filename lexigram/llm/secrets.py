@@ -15,6 +15,7 @@ Null texts are empty blobs without findings. Paths may repeat, be null, and hold
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,14 +52,27 @@ BASE = (
     Rule("hex", r"[0-9a-f]{16,}", least=16),
 )
 
-#: Further kinds: public token formats.
+#: Lines of a key whose END line is missing: armour headers, base64 runs (behind quote marks, blanks or written-out line ends),
+#: a short last line with padding, a checksum or at the end of the text.
+_KEY_LINES = (
+    r"""(?:(?:\\[nr]|[\s>|"',+#*])*+(?:(?:Version|Comment|Hash|Charset|MessageID|Proc-Type|DEK-Info):[^\r\n]*+"""
+    r"""|[A-Za-z0-9+/]{16,}+={0,2}+(?=[\s\\"',]|\z)|[A-Za-z0-9+/]+={1,2}+(?=[\s\\"',]|\z)|=[A-Za-z0-9+/]{4}(?=[\s\\"',]|\z)"""
+    r"""|(?<=[A-Za-z0-9+/][\r\n])[A-Za-z0-9+/]++\z))*+"""
+)
+
+#: Further kinds: public token formats. A key runs to its END line if no other BEGIN or END line comes first.
 MORE = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule(
+        "private_key",
+        r"-----BEGIN ((?:[A-Z0-9]+ ){0,4}PRIVATE KEY(?: BLOCK)?)-----"
+        r"(?:(?:(?!-----(?:BEGIN|END) )[\s\S])*+-----END \1-----|" + _KEY_LINES + ")",
+        version=2,
+    ),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{36,}", version=2),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,64}:[^\s/@]{3,64}@"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]*+:[^\s/@]{3,}+@", version=2),
 )
 
 RULES = BASE + MORE
@@ -114,8 +128,9 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> D
     ]
     texts.select("blob", "rules", F.flatten(F.array(*found)).alias("spans")).write.mode("append").parquet(ledger)
 
-    kinds = [r.kind for r in rules]
-    current = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    # a row may hold findings of old versions beside current ones
+    own = lambda s: [(s["kind"] == r.kind) & F.array_contains("rules", r.key) for r in rules]
+    current = F.filter("spans", lambda s: reduce(Column.__or__, own(s)))
     now = spark.read.schema(schema).parquet(ledger).where(F.arrays_overlap("rules", wanted) & (F.size("spans") > 0))
     rows = now.select("blob", F.explode(current).alias("s"))
     per_blob = rows.groupBy("blob").agg(F.sort_array(F.collect_set("s")).alias("spans"))

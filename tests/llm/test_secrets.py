@@ -64,6 +64,35 @@ def test_masks(docs):
     assert texts[3] == "[access] AKIAXX [hex]" and texts[7] == "[github] end" and texts[5].endswith("x [assign]\"")
 
 
+def test_whole_keys_and_long_logins_are_masked(docs):
+    body = "\n".join("MIIEvQ+/" * 8 for _ in range(20))
+    key = lambda kind, body=body: f"-----BEGIN {kind}-----\n{body}\nab==\n-----END {kind}-----"
+    pgp = key("PGP PRIVATE KEY BLOCK", f"Version: GnuPG v2\n\n{body}\n=aB3d")
+    texts = [
+        (f"a {key('RSA PRIVATE KEY')} b", "a [private_key] b"),
+        (f"a {pgp} b {key('PRIVATE KEY')}", "a [private_key] b [private_key]"),
+        ("k = '" + key("EC PRIVATE KEY").replace("\n", "\\n") + "'", "k = '[private_key]'"),
+        (f"-----BEGIN PRIVATE KEY-----\n{body}\nab==\nplain words", "[private_key]\nplain words"),  # without an END line
+        (f"-----BEGIN PRIVATE KEY-----\n{body}\nab", "[private_key]"),
+        (f"-----BEGIN PRIVATE KEY----- is a line. {key('PRIVATE KEY')}", "[private_key] is a line. [private_key]"),
+        (key("PRIVATE KEY", "A/b+" * 200_000), "[private_key]"),
+        ("-----BEGIN PRIVATE KEY-----\n" + f"{'A/b+' * 16}\n" * 20_000 + "end of it", "[private_key]\nend of it"),
+        (f"git clone https://me:{'p' * 300}@h.example/x", "git clone [url_login]h.example/x"),
+        (f"https://{'u' * 90}:secret@h.example redis://:pass@h.example", "[url_login]h.example [url_login]h.example"),
+        (f"use github_pat_{'a1B2_' * 16}ab now", "use [github] now"),
+    ]
+    got = {r.doc_id: r.text for r in s.masked(docs(*((i, t) for i, (t, _) in enumerate(texts)))).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(texts)}
+
+
+def test_findings_of_old_versions_are_not_reported(spark, plain):
+    ledger, table = scratch_dir(spark, "ledger"), plain((1, "ab token=abcdefghijklmnop")).withColumnRenamed("doc_id", "path")
+    old, new = s.Rule("word", "a"), s.Rule("word", "ab ", version=2)
+    s.scan(table, ledger, (s.BASE[0], old)).collect()
+    (row,) = s.scan(table, ledger, (s.BASE[0], new)).collect()
+    assert [(x.kind, x.start, x.end) for x in row.spans] == [("word", 0, 3), ("assign", 3, 25)]
+
+
 def test_plan_is_native(docs):
     text = s.report(docs((1, "a")))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", text)
