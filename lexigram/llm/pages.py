@@ -9,7 +9,8 @@ templates.
 
 Besides templates, elements that say what they are go: navigation, headers, footers, asides, forms, scripts, styles, comments,
 and elements whose class, id or role names a menu, advert, notice, sidebar, reader comments and the like. The article is what
-stands in ``article`` elements, else in ``main`` or its like, else in the body. Paragraphs, headings and other plain text blocks
+stands in ``article`` elements, else in ``main`` or its like, else in the body. Headings of a header within it stay, be it one by tag
+or by class or id. Paragraphs, headings and other plain text blocks
 within such an element are never taken for a template.
 
 Blocks are joined by one newline in page order; white space within a block, ``br`` included, is one blank; character references
@@ -57,6 +58,8 @@ _ENDS = {t: frozenset([t]) for t in ("li", "tr", "option")}
 _ENDS |= {t: frozenset(["dt", "dd"]) for t in ("dt", "dd")} | {t: frozenset(["td", "th"]) for t in ("td", "th")}
 _BARRIERS = frozenset("ul ol dl table body article main section div".split())
 
+#: The word by which an element within an article says that it is its header.
+_HEADER = re.compile(r"(?:(?<=[\s_-])|^)header(?=$|[\s_-])", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog form menu menubar".split())
 _NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?\w*|consent|gdpr|notice|notification|popup|modal|overlay"
@@ -94,6 +97,12 @@ class Node:
             return True
         return by_name and bool(self.named) and self.tag not in ("html", "body", "main") and bool(_NAMED.search(self.named))
 
+    def headed(self) -> bool:
+        """Whether the element is a header, and nothing else that isn't part of an article, by its tag or names."""
+        if self.dropped(False):
+            return False
+        return self.tag == "header" and not self.dropped() or bool(_HEADER.search(self.named)) and not _NAMED.search(_HEADER.sub("", self.named))
+
 
 def parse(html: str) -> Node:
     """The tree of block elements; children are nodes and pieces of text, a blank for each ``br``."""
@@ -232,9 +241,10 @@ def _blocks_text(root: Node, templates: frozenset[int], by_name: bool) -> str:
                     blocks[-1].append(item)
                 continue
             if item is not top:
-                if item.dropped(by_name) or (item.key in templates and (whole or item.tag not in _TEXT_BLOCKS)):
+                header = not whole and item.headed()
+                if (item.dropped(by_name) and not header) or (item.key in templates and (whole or item.tag not in _TEXT_BLOCKS)):
                     continue
-                headings = (headings or item.tag == "header") and item.tag not in _HEADINGS
+                headings = (headings or header or item.tag == "header") and item.tag not in _HEADINGS
             blocks.append([])
             todo.append((None, False))
             todo.extend((c, headings) for c in reversed(item.children))

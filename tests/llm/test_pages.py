@@ -36,6 +36,23 @@ def test_main_text(html, text):
     assert p.main_text(root) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ('<article><header class="entry-header"><h1>T</h1><span>by</span></header><p>x</p></article>', "T\nx"),
+        ('<article><div class="post-header"><div><h1 class="header">T</h1></div><p>by</p></div><p>x</p></article>', "T\nx"),
+        ('<main><div id="header"><h2>T</h2></div><p>x</p></main>', "T\nx"),
+        ('<article><p>x</p><div class="comments-header"><h3>c</h3></div><div class="header ad"><h3>a</h3></div></article>', "x"),
+        ('<body><div class="site-header"><h1>Site</h1></div><article><h1>T</h1><p>x</p></article></body>', "T\nx"),
+        ('<body><div class="site-header"><h1>Site</h1></div><p>x</p><p>y</p></body>', "x\ny"),
+    ],
+)
+def test_headers_by_name_keep_the_title(html, text):
+    root = p.parse(html)
+    p.hash_subtrees(root)
+    assert p.main_text(root) == text
+
+
 def page(i, host="h.example", article=None, extra=""):
     body = article or f"<p>Story {i} begins.</p><p>Common line.</p><p>It ends after {i * i} words.</p>"
     box = "<div><p>Read more from us</p><p>Every day</p></div>"
