@@ -2,16 +2,17 @@
 
 *Pass 1* parses every page into a tree of its block elements and hashes each subtree (tag, class, id, text, children). Spark
 counts for each host on how many of its pages a subtree stands; pages of a host with equal main text count once, so copies of
-an article don't make its paragraphs a template. Subtrees on at least ``MIN_PAGES`` pages and ``SHARE`` of the host's pages are
-templates.
+an article don't make its paragraphs a template. Subtrees on at least ``MIN_PAGES`` such pages are templates, however many pages
+the host has.
 
 *Pass 2* gives each page the templates that it holds, drops them, and writes out the rest of the article.
 
 Besides templates, elements that say what they are go: navigation, headers, footers, asides, forms, scripts, styles, comments,
 and elements whose class, id or role names a menu, advert, notice, sidebar, reader comments and the like. The article is what
 stands in ``article`` elements, else in ``main`` or its like, else in the body. Headings of a header within it stay, be it one by tag
-or by class or id. Paragraphs, headings and other plain text blocks
-within such an element are never taken for a template.
+or by class or id. Paragraphs within
+such an element are templates only as notices, on at least ``NOTICE_PAGES`` pages and ``NOTICE_SHARE`` of the host's pages: a line
+that many stories share is text. Headings, list items, cells and the like within it are never taken for a template.
 
 Blocks are joined by one newline in page order; white space within a block, ``br`` included, is one blank; character references
 are decoded. Unclosed elements end where HTML ends them or with their parent. Null or empty html gives an empty text; pages
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from lexigram.llm.common import map_batches
 from lexigram.session import broadcast_if_small, stored
 
-MIN_PAGES, SHARE = 4, 0.3
+MIN_PAGES = 4
+NOTICE_PAGES, NOTICE_SHARE = 20, 0.95
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -52,6 +54,8 @@ _INLINE = frozenset(
 _VOID = frozenset("area base col embed hr param track".split())
 _DROPPED = frozenset("head nav footer aside form menu dialog button fieldset audio video canvas map".split())
 _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dd dt figcaption td th tr tbody caption address".split())
+#: Text blocks that may be notices within an article; ``_NOTICE`` keeps their keys apart from those outside.
+_NOTICES, _NOTICE = frozenset("p pre blockquote address".split()), 0x5DEECE66D
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Starting one of these ends an open one of those.
 _ENDS = {t: frozenset([t]) for t in ("li", "tr", "option")}
@@ -194,8 +198,8 @@ def _main_nodes(root: Node) -> list[Node]:
     return empty or [root]
 
 
-def removable(root: Node) -> list[int]:
-    """Keys of the subtrees that may be templates."""
+def removable(root: Node) -> list[tuple[int, bool]]:
+    """Keys of the subtrees that may be templates, and whether only as notices within the article."""
     mains = _main_nodes(root)
     whole = mains == [root]
     around = {id(n) for n in mains}
@@ -207,7 +211,9 @@ def removable(root: Node) -> list[int]:
         node, in_main = todo.pop()
         if node.chars and id(node) not in around and node.tag not in ("body", "head"):
             if not in_main or node.tag not in _TEXT_BLOCKS:
-                keys.add(node.key)
+                keys.add((node.key, False))
+            elif node.tag in _NOTICES:
+                keys.add((node.key ^ _NOTICE, True))
         in_main = in_main or (node in mains and not whole)
         todo.extend((c, in_main) for c in node.children if isinstance(c, Node))
     return sorted(keys)
@@ -229,6 +235,11 @@ def _blocks_text(root: Node, templates: frozenset[int], by_name: bool) -> str:
     mains = _main_nodes(root)
     whole = mains == [root]
 
+    def template(node: Node) -> bool:
+        if whole or node.tag not in _TEXT_BLOCKS:
+            return node.key in templates
+        return node.tag in _NOTICES and node.key ^ _NOTICE in templates
+
     def walk(top: Node) -> None:
         todo: list = [(top, False)]
         while todo:
@@ -242,7 +253,7 @@ def _blocks_text(root: Node, templates: frozenset[int], by_name: bool) -> str:
                 continue
             if item is not top:
                 header = not whole and item.headed()
-                if (item.dropped(by_name) and not header) or (item.key in templates and (whole or item.tag not in _TEXT_BLOCKS)):
+                if (item.dropped(by_name) and not header) or template(item):
                     continue
                 headings = (headings or header or item.tag == "header") and item.tag not in _HEADINGS
             blocks.append([])
@@ -260,41 +271,43 @@ def host(url: Column) -> Column:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """``(page, host, content, subtree)``: the distinct removable subtrees of each page. ``pages``: page, host, html."""
+    """``(page, host, content, subtree, notice)``: the distinct removable subtrees of each page. ``pages``: page, host, html."""
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns: list[list] = [[], [], [], []]
+        columns: list[list] = [[], [], [], [], []]
         for page, name, html in zip(*(c.to_pylist() for c in batch.columns)):
             root = parse(html)
             hash_subtrees(root)
             content = xxhash.xxh64_intdigest(main_text(root)) - 2**63
-            for key in removable(root):
-                for column, value in zip(columns, (page, name, content, key)):
+            for key, notice in removable(root):
+                for column, value in zip(columns, (page, name, content, key, notice)):
                     column.append(value)
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64())
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
         arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
-        return pa.RecordBatch.from_arrays(arrays, names=["page", "host", "content", "subtree"])
+        return pa.RecordBatch.from_arrays(arrays, names=["page", "host", "content", "subtree", "notice"])
 
-    return map_batches(pages.select("page", "host", "html"), make, "page bigint, host string, content bigint, subtree bigint")
+    schema = "page bigint, host string, content bigint, subtree bigint, notice boolean"
+    return map_batches(pages.select("page", "host", "html"), make, schema)
 
 
-def templates(found: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+def templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``(host, subtree)`` of the templates, from ``subtrees``."""
-    once = found.select("host", "content", "subtree").distinct()
-    counts = once.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    once = found.select("host", "content", "subtree", "notice").distinct()
+    counts = once.groupBy("host", "subtree", "notice").agg(F.count(F.lit(1)).alias("n"))
+    often = stored(counts.where(F.col("n") >= F.when(F.col("notice"), max(min_pages, NOTICE_PAGES)).otherwise(min_pages)), "counts")
     totals = found.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    often = counts.where(F.col("n") >= min_pages).join(totals, "host")
-    return often.where(F.col("n") >= share * F.col("pages")).select("host", "subtree")
+    notices = often.where("notice").join(stored(totals, "totals"), "host").where(F.col("n") >= NOTICE_SHARE * F.col("pages"))
+    return often.where("not notice").select("host", "subtree").unionByName(notices.select("host", "subtree"))
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``pages`` (page_id, url, html, ...) as ``(page_id, url, text)``."""
     html = F.coalesce("html", F.lit(""))
     keyed = pages.select("page_id", "url", html.alias("html"), host(F.col("url")).alias("host")).withColumn(
         "page", F.xxhash64("page_id", "url", "html")
     )
     found = stored(subtrees(keyed.where("host != ''")), "subtrees")
-    often = stored(templates(found, min_pages, share), "templates")
+    often = stored(templates(found, min_pages), "templates")
     held = found.join(often, ["host", "subtree"]).groupBy("page").agg(F.collect_set("subtree").alias("templates"))
     held = stored(held, "held")
 

@@ -74,6 +74,21 @@ def test_templates_of_a_host_go(spark):
     assert p.report(table).count() == len(rows) and p.report(table.limit(0)).count() == 0
 
 
+def test_templates_of_sections_and_notices_go(spark):
+    rows = []
+    for i in range(60):  # six sections, each with its own menu and advert on a sixth of the pages
+        menu = f"<ul><li>Part {i % 6}</li><li>More of part {i % 6}</li></ul>"
+        box = f"<div><span>Buy {i % 6} now</span></div>"
+        body = f"<h1>Title {i}</h1><h2>Story</h2><p>We close in May.</p><p>Text {i}.</p><p>Said {i % 6}.</p>{box}"
+        rows.append((i, f"http://h.example/{i % 6}/{i}", f"<body>{menu}<article>{body}</article></body>"))
+        rows.append((100 + i, f"http://plain.example/{i % 6}/{i}", f"<body>{menu}<p>Text {i}.</p>{box}</body>"))
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in p.report(table).collect()}
+    for i in range(60):
+        assert got[i] == f"Title {i}\nStory\nText {i}.\nSaid {i % 6}."
+        assert got[100 + i] == f"Text {i}."
+
+
 def test_given_pages_against_brute_force(spark):
     rows = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r.text for r in p.report(rows).collect()}
