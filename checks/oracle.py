@@ -287,6 +287,24 @@ SELECTS = {
     "next_word_ranked": f"SELECT w1, w2, w3, {_significant('p')} AS prob FROM raw ORDER BY w1, w2, p DESC, w3",
     "next_word_topk": f"""SELECT w1, w2, w3, {_significant('p')} AS prob, rank FROM (SELECT *,
         CAST(row_number() OVER (PARTITION BY w1, w2 ORDER BY p DESC, w3) AS INTEGER) AS rank FROM raw) WHERE rank <= 5""",
+    "next_word_rank": f"""SELECT w1, w2, w3, {_significant('p')} AS prob,
+        row_number() OVER (PARTITION BY w1, w2 ORDER BY p DESC, w3) AS rank FROM raw""",
+    "backoff_topk": f"""SELECT w1, w2, w3, {_significant('p')} AS prob, rank FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY w1, w2 ORDER BY p DESC, w3) AS INTEGER) AS rank FROM (
+            SELECT t.w1, t.w2, s.w3, s.p FROM (
+                SELECT w1, w2, unnest(range(1, count(*) + 6)) AS k FROM tri GROUP BY w1, w2) t JOIN (
+                SELECT *, row_number() OVER (PARTITION BY w2 ORDER BY p DESC, w3) AS k FROM (
+                    SELECT b.w1 AS w2, b.w2 AS w3, 0.5::DOUBLE * ((ln(b.n + 1) + 1) / (ln(b.n + 1) + 2)) * b.n / u.n
+                        + 0.5::DOUBLE * (1 - (ln(b.n + 1) + 1) / (ln(b.n + 1) + 2)) * v.n / c0 AS p
+                    FROM bi b JOIN uni u ON u.word = b.w1 JOIN uni v ON v.word = b.w2, size0)) s ON s.w2 = t.w2 AND s.k = t.k
+            ANTI JOIN tri x ON x.w1 = t.w1 AND x.w2 = t.w2 AND x.w3 = s.w3
+            UNION ALL SELECT t.w1, t.w2, f.w3, f.p FROM (SELECT DISTINCT w1, w2 FROM tri) t JOIN (
+                SELECT *, row_number() OVER (PARTITION BY w2 ORDER BY p DESC, w3) AS place FROM (
+                    SELECT m.w1 AS w2, u.word AS w3, 0.25::DOUBLE * u.n / c0 AS p FROM (
+                        SELECT w1, unnest(range(1, count(*) + 6)) AS k FROM bi GROUP BY w1) m
+                    JOIN (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS k FROM uni) u ON u.k = m.k
+                    ANTI JOIN bi b ON b.w1 = m.w1 AND b.w2 = u.word, size0)) f ON f.w2 = t.w2 AND f.place <= 5
+        )) WHERE rank <= 5""",
     "backoff_candidates": f"""SELECT * EXCLUDE (p), {_significant('p')} AS prob FROM (
         SELECT b.w1 AS w2, b.w2 AS w3, u.n AS c2, v.n AS c3, b.n AS c23, c0,
         (SELECT count(*) FROM uni) - coalesce(s.seen, 0) AS unseen,

@@ -25,7 +25,7 @@ from lexigram.sources import dependency as dep
 from lexigram.sources import lists, ngrams, sinks
 from lexigram.sources.tables import read_table
 from lexigram.sources.text import trigrams_from_text, word_counts
-from lexigram.session import apply_settings, broadcast_if_small, scratch_dir, spread
+from lexigram.session import apply_settings, broadcast_if_small, scratch_dir, spread, stored
 from lexigram.streaming import tasks as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,6 +218,11 @@ def next_word_ranked(spark, sf_dir):
     return _shown(next_word.ranked(given.trigrams(spark, sf_dir)))
 
 
+@query
+def next_word_rank(spark, sf_dir):
+    return _shown(nw.with_rank(next_word.probabilities(given.trigrams(spark, sf_dir))))
+
+
 @query
 def next_word_topk(spark, sf_dir):
     return _shown(next_word.best(given.trigrams(spark, sf_dir), NEXT_WORDS))
@@ -228,6 +233,11 @@ def backoff_candidates(spark, sf_dir):
     return _shown(nw.unseen_scores(given.trigrams(spark, sf_dir)))
 
 
+@query
+def backoff_topk(spark, sf_dir):
+    return _shown(nw.unseen_top_k(stored(given.trigrams(spark, sf_dir), "trigrams"), NEXT_WORDS))
+
+
 @query
 def backoff_scored(spark, sf_dir):
     asked = trigrams_from_text(spread(read_table(spark, sf_dir, "conversations")))

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 from test_dependency import LINES
+from test_dependency import brute as counted
 
 from lexigram.operators import similarity as sim
 from lexigram.plans import similarity
@@ -90,17 +91,28 @@ def test_outer_vectors_give_the_same_sums(spark, vectors):
 
 
 def test_one_sided_pair_of_the_dependency_lines(lines):
-    gold = lines("axe\tadaptation\t1", "axes\tadaptation\t0", "cathedral\tactivity\t0")
+    lexemes, pairs, features = counted(LINES)
+    all_lines, all_features = lexemes.total(), pairs.total()
+    own = {f: n for (l, f), n in pairs.items() if l == "cat"}
+    assert own and not any(l == "ax" for l, _ in pairs)
+    gold = lines("axe\tcats\t1", "axes\tcat\t0", "houses\tcat\t0")
     rows = {(r.w1, r.w2): r for r in similarity.labelled_matrix(lines(*LINES), gold).collect()}
-    assert set(rows) == {("ax", "adapt"), ("cathedr", "activ")}
-    row = rows["ax", "adapt"]
-    assert row.c1 == 121.0 and row.c5 == pytest.approx(51.11751167652823)
-    assert row.c2 == pytest.approx(1.6575342465753424) and row.c3 == pytest.approx(17.89561769859279)
-    assert row.c8 == pytest.approx(1.5570072584631771) and row.c21 == pytest.approx(121.0)
+    assert set(rows) == {("ax", "cat"), ("hous", "cat")}
+    row, n_l = rows["ax", "cat"], lexemes["cat"]
+    assert row.c1 == sum(own.values()) and row.c5 == pytest.approx(math.sqrt(sum(n * n for n in own.values())))
+    assert row.c2 == pytest.approx(sum(n / n_l for n in own.values())) and row.c21 == pytest.approx(row.c1)
+    pmi = [math.log2(n * all_features / (n_l * features[f])) for f, n in own.items()]
+    assert row.c3 == pytest.approx(sum(map(abs, pmi)))
+    expected = {f: n_l / all_lines * features[f] / all_features for f in own}
+    t_test = [(n / all_lines - expected[f]) / math.sqrt(expected[f]) for f, n in own.items()]
+    assert row.c8 == pytest.approx(math.sqrt(sum(t * t for t in t_test)))
     assert [row[f"c{i}"] for i in range(9, 13)] == [-1.0] * 4
-    assert [row[f"c{i}"] for i in range(13, 21)] == [0.0] * 8
-    assert (row.result, rows["cathedr", "activ"].result) == ("1", "0")
-    assert rows["cathedr", "activ"].c1 == 456.0
+    for i in (13, 14, 17, 18):  # shared part over all parts
+        assert row[f"c{i}"] == 0.0
+    assert (row.result, rows["hous", "cat"].result) == ("1", "0")
+    other = {f: n for (l, f), n in pairs.items() if l == "hous"}
+    assert set(own) & set(other)
+    assert rows["hous", "cat"].c1 == sum(abs(own.get(f, 0) - other.get(f, 0)) for f in own | other)
 
 
 def test_gold_pairs(lines):
