@@ -35,4 +35,54 @@ reach(doc_id, other) AS (SELECT doc_id, doc_id FROM dw
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM dw LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)"""
 
-LLM_ORACLE = {"op3_decontamination": DECONTAMINATION, "op5_near_duplicates": NEAR_DUPLICATES}
+def _leaf(text: str) -> str:
+    fields = [*(f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")), text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+def _siblings(nodes: str) -> str:
+    """Nodes with what stands left and right of them in their run, below the top of each tree."""
+    return f"""SELECT a.tree, a.l, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') || '|'
+            || coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS pair
+        FROM (SELECT *, max(l) OVER (PARTITION BY tree) AS top FROM {nodes}) a
+        JOIN {nodes} b ON a.tree IS NOT DISTINCT FROM b.tree AND a.l = b.l AND a.pos // 3 = b.pos // 3
+        WHERE a.l < a.top GROUP BY ALL"""
+
+
+def _levels(nodes: str, leaves: str) -> str:
+    return f"""{nodes}(tree, l, pos, h) AS (SELECT tree, 0, pos, h FROM {leaves} UNION ALL
+        SELECT tree, any_value(l) + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos))
+        FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS c FROM {nodes}) WHERE c > 1 GROUP BY tree, pos // 3)"""
+
+
+#: CRC-32 of the decimal id, bit by bit: a character enters, then eight shifts (marked 256).
+_CRC = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: [CAST(ascii(c) AS BIGINT), 256, 256, 256, 256, 256, 256, 256, 256]))),
+    lambda c, b: CASE WHEN b < 256 THEN xor(c, b) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+
+MERKLE = f"""
+WITH RECURSIVE leafs AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos
+    FROM (SELECT doc_id, source AS tree, {_leaf("text")} AS h,
+        CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} END AS other FROM documents)),
+{_levels("low", "leafs")},
+subs AS MATERIALIZED (SELECT 0 AS tree, tree AS source, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, h
+    FROM (SELECT tree, arg_max(h, l) AS h FROM low GROUP BY tree)),
+{_levels("high", "subs")},
+lows AS MATERIALIZED ({_siblings("low")}),
+highs AS MATERIALIZED ({_siblings("high")}),
+upper AS (SELECT s.source, s.h AS subroot, coalesce(list(x.pair ORDER BY x.l) FILTER (x.pair IS NOT NULL), []) AS pairs
+    FROM subs s LEFT JOIN highs x ON x.pos = s.pos // CAST(pow(3, x.l) AS BIGINT) GROUP BY ALL),
+steps AS (SELECT unnest(range(0, 40)) AS l),
+lower AS (SELECT f.tree, f.pos, coalesce(list(x.pair ORDER BY x.l) FILTER (x.pair IS NOT NULL), []) AS pairs
+    FROM (SELECT tree, pos, l, pos // CAST(pow(3, l) AS BIGINT) AS at FROM leafs, steps WHERE l < 20) f
+    LEFT JOIN lows x ON x.tree IS NOT DISTINCT FROM f.tree AND x.l = f.l AND x.pos = f.at GROUP BY f.tree, f.pos),
+proofs AS (SELECT f.doc_id, f.h AS leaf, u.subroot, list_concat(w.pairs, u.pairs) AS pairs, coalesce(f.other, f.h) AS start
+    FROM leafs f JOIN lower w ON w.tree IS NOT DISTINCT FROM f.tree AND w.pos = f.pos
+    JOIN upper u ON u.source IS NOT DISTINCT FROM f.tree)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM (
+    SELECT doc_id, leaf, subroot, (SELECT arg_max(h, l) FROM high) AS root,
+        sha256(replace(array_to_string(pairs, ''), '|', '')) AS proof_sha256,
+        list_reduce(list_concat([start], pairs),
+            lambda a, x: sha256(string_split(x, '|')[1] || a || string_split(x, '|')[2])) AS folded_root FROM proofs)"""
+
+LLM_ORACLE = {"op3_decontamination": DECONTAMINATION, "op5_near_duplicates": NEAR_DUPLICATES, "op12_merkle": MERKLE}

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigram.llm import decontaminate, licences, minhash, neighbours, packing, pages, quality, secrets, token_counts, token_files
+from lexigram.llm import (
+    decontaminate, licences, merkle, minhash, neighbours, packing, pages, quality, secrets, token_counts, token_files, whitening,
+)
 from lexigram.llm.common import table
 from lexigram.llm.oracle import LLM_ORACLE
 
@@ -69,3 +71,13 @@ def op9_token_files(spark, sf_dir):
 @query
 def op10_licences(spark, sf_dir):
     return licences.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    return whitening.report(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query
+def op12_merkle(spark, sf_dir):
+    return merkle.report(table(spark, sf_dir, "documents"))
