@@ -85,4 +85,25 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = roo
         list_reduce(list_concat([start], pairs),
             lambda a, x: sha256(string_split(x, '|')[1] || a || string_split(x, '|')[2])) AS folded_root FROM proofs)"""
 
-LLM_ORACLE = {"op3_decontamination": DECONTAMINATION, "op5_near_duplicates": NEAR_DUPLICATES, "op12_merkle": MERKLE}
+REPEATS = """
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS MATERIALIZED (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+    FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+m AS (SELECT s, min(doc_id) AS low FROM w GROUP BY s HAVING min(doc_id) <> max(doc_id)),
+hit AS (SELECT DISTINCT doc_id, i FROM w JOIN m USING (s) WHERE doc_id > low),
+e AS (SELECT *, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true) AS fresh FROM hit),
+spans AS (SELECT doc_id, min(i) AS b, max(i) + 50 AS e
+    FROM (SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM e) GROUP BY doc_id, g),
+kept AS (SELECT doc_id, sum(e - b) AS gone, count(*) AS n, max(e) AS rest,
+        string_agg(substr(h, 2 * after + 1, 2 * (b - after)), '' ORDER BY b) AS k
+    FROM (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS after FROM spans) JOIN d USING (doc_id)
+    GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
+    sha256(unhex(coalesce(k || substr(h, 2 * rest + 1), h))) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
+
+LLM_ORACLE = {
+    "op3_decontamination": DECONTAMINATION,
+    "op5_near_duplicates": NEAR_DUPLICATES,
+    "op12_merkle": MERKLE,
+    "op13_repeats": REPEATS,
+}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexigram.llm import (
-    decontaminate, licences, merkle, minhash, neighbours, packing, pages, quality, secrets, token_counts, token_files, whitening,
+    decontaminate, licences, merkle, minhash, neighbours, packing, pages, quality, repeats, secrets, token_counts, token_files,
+    whitening,
 )
 from lexigram.llm.common import table
 from lexigram.llm.oracle import LLM_ORACLE
@@ -81,3 +82,8 @@ def op11_whitening(spark, sf_dir):
 @query
 def op12_merkle(spark, sf_dir):
     return merkle.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_repeats(spark, sf_dir):
+    return repeats.report(table(spark, sf_dir, "documents"))
