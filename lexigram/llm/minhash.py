@@ -13,12 +13,17 @@ all buckets with probability ``(1 - 0.75 ** 4) ** 40 = 2.5e-7``, one at 0.8 with
 
 *Links without all pairs.* Only pairs whose sizes allow the threshold and whose byte sketches agree to within ``MARGIN`` of it
 (over six standard deviations) are verified, by intersecting full sets. First every document is compared with the smallest
-document it meets in any bucket. Buckets whose members are then in one component need nothing more. In the others, parts of some
-``BLOCK`` members, dealt by component, meet in numpy, never two parts of one component: for ``BEST_TURNS`` turns every document is compared with the member of another component
+document it meets in any bucket. Buckets whose members are then in one component need nothing more. In the others the largest
+component is the host, the rest are guests. Guests of a bucket meet each other there, in blocks of two parts of some ``BLOCK``
+members, never two parts of one component. Guests meet a host in the bucket too, unless the host's members in all such
+buckets together outnumber the host itself: then each guest meets the whole host once, and each member of the host
+enters once, in how many bands whatever. For ``BEST_TURNS`` turns every document is compared with the member of another component
 whose sketch is closest, which joins groups around their originals; the last turn verifies every pair that is left between
-different components, each in its first common bucket. Blocks with few candidates pass them on as pairs; in dense blocks (many
-documents just below the threshold) the full sets come to the block, and only links leave it. No bucket, partner or candidate
-is capped.
+different components. Blocks with few candidates pass them on as pairs; in dense blocks (many documents just below the
+threshold) the full sets come to the block, and only links leave it. No bucket, partner or candidate is capped.
+
+In a bucket's block a pair is left to an earlier bucket if all four sketch bytes of an earlier band agree. That these bytes agree
+where the coordinates differ, so that the pair is missed, has a probability of 1e-8.
 
 A null or repeated ``doc_id`` is one node: rows that share it belong together; null ids are never linked and their
 component is null.
@@ -31,13 +36,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigram.llm.common import importable, map_batches
+from lexigram.llm.common import importable, likely_in, map_batches
 from lexigram.llm.components import components
 from lexigram.llm.words import NOT_BLANK, STRETCH, Words, blocks, doc_runs, mix, runs
-from lexigram.session import broadcast_if_small, stored
+from lexigram.session import stored
 
 SHINGLE = 5
 PERCENT = 75
@@ -127,13 +132,12 @@ def _allowed(sizes: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class _Block:
-    """Rows of one or two parts of a bucket: key, part_a, part_b, part, doc, comp, n, sketch, bands."""
+    """Rows of one or two parts that meet: key, part_a, part_b, band, part, doc, comp, n, sketch."""
 
     def __init__(self, rows: pd.DataFrame):
         self.docs, self.comps, self.sizes, self.parts = (rows[c].to_numpy() for c in ("doc", "comp", "n", "part"))
         self.sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
-        bands = np.vstack(rows["bands"])
-        self.earlier = bands[:, : int(np.flatnonzero(bands[0] == rows["key"].iloc[0])[0])]
+        self.earlier = self.sketch.view(np.uint32)[:, : int(rows["band"].iloc[0])]  # ROWS bytes each
         self.two_parts = rows["part_a"].iloc[0] != rows["part_b"].iloc[0]
 
     def candidates(self, i: int, begin: int) -> tuple[np.ndarray, np.ndarray]:
@@ -251,25 +255,68 @@ def _parts(members: DataFrame) -> DataFrame:
     return dealt.select("key", "comp", "n_comp", begin.alias("begin"), F.coalesce("width", "shared").alias("width"), "parts")
 
 
-def _blocked(members: DataFrame, items: DataFrame) -> DataFrame:
-    """Members of buckets (key, doc, comp) with size, sketch and bands, dealt into blocks, and blocks into shards of bounded size.
+def _in_buckets(members: DataFrame) -> DataFrame:
+    """Members (key, band, doc, comp) dealt into blocks of their bucket: key, part_a, part_b, band, part, doc, comp.
 
     Members of one component are not sent to meet each other: parts of a large component meet the other parts only, and a small
     one stays within one part.
     """
     parts = stored(_parts(members), "parts")
     alone = 2 * F.col("n_comp") > BLOCK
-    copies = F.col("parts") - F.when(alone, F.col("width")).otherwise(0)
-    shards = max(1, (parts.agg(F.sum(F.col("n_comp") * copies).alias("n")).first()["n"] or 0) // SHARD)
     mark = F.xxhash64(F.when(alone, F.col("doc")).otherwise(F.col("comp")))
     part = (F.col("begin") + F.pmod(mark, F.col("width"))).cast("int")
     met = F.filter(
         F.sequence(F.lit(0), F.col("parts") - 1), lambda x: ~alone | (x < F.col("begin")) | (x >= F.col("begin") + F.col("width"))
     )
-    held = members.join(parts, ["key", "comp"]).join(items, "doc").where(F.array_contains("bands", F.col("key")))  # an id may have several texts
-    dealt = held.withColumn("part", part).withColumn("other", F.explode(met))
+    dealt = members.join(parts, ["key", "comp"]).withColumn("part", part).withColumn("other", F.explode(met))
     own = [F.least("part", "other").alias("part_a"), F.greatest("part", "other").alias("part_b")]
-    rows = dealt.select("key", *own, "part", "doc", "comp", "n", "sketch", "bands")
+    return dealt.select("key", *own, "band", "part", "doc", "comp")
+
+
+def _at_hosts(hosts: DataFrame, guests: DataFrame) -> DataFrame:
+    """Hosts (host, doc) and their guests (host, doc, comp) dealt into blocks of one part of either; parts of hosts are negative."""
+    n_hosts = hosts.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("own"))
+    n_guests = guests.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("from"))
+    parts = n_hosts.join(n_guests, "host")
+    sizes = stored(parts, "parts").select(F.col("host").bitwiseXOR(F.lit(0)).alias("host"), "own", "from")
+
+    def dealt(rows: DataFrame, mine: str, others: str, comp: Column, negative: bool) -> DataFrame:
+        part = F.pmod(F.xxhash64("doc"), F.col(mine)).cast("int")
+        rows = rows.join(sizes, "host").withColumn("mine", part).withColumn("met", F.explode(F.sequence(F.lit(0), F.col(others) - 1)))
+        a, b = (F.col("mine"), F.col("met")) if negative else (F.col("met"), F.col("mine"))
+        own = (-1 - a) if negative else b
+        return rows.select(
+            F.col("host").alias("key"), (-1 - a).alias("part_a"), b.alias("part_b"), F.lit(0).alias("band"), own.alias("part"),
+            "doc", comp.alias("comp"),
+        )
+
+    return dealt(hosts, "own", "from", F.col("host"), True).unionByName(dealt(guests, "from", "own", F.col("comp"), False))
+
+
+def _blocked(members: DataFrame, items: DataFrame) -> DataFrame:
+    """Members of buckets (key, band, doc, comp) that have yet to meet, with size and sketch, dealt into blocks, and blocks into
+    shards of bounded size."""
+    residents = stored(members.select(F.col("comp").alias("host"), "doc").distinct(), "residents")
+    sizes = stored(members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n_comp")), "sizes")
+    first = F.struct("n_comp", (-F.col("comp")).alias("comp"))
+    top = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), (-F.max(first)["comp"]).alias("host")).where("comps > 1")
+    mixed = stored(sizes.join(top.select("key", "host"), "key"), "mixed")
+    whole = residents.groupBy("host").agg(F.count(F.lit(1)).alias("n_host"))
+    entered = mixed.where("comp = host").groupBy("host").agg(F.sum("n_comp").alias("entered"))
+    hosts = entered.join(whole, "host").where("entered > n_host").select("host")
+    hosts = stored(hosts, "hosts")
+
+    here = mixed.join(hosts.withColumnRenamed("host", "comp"), "comp", "left_anti").unionByName(
+        mixed.where("comp != host").join(hosts.withColumnRenamed("host", "comp"), "comp", "left_semi")
+    )
+    several = here.groupBy("key").agg(F.count(F.lit(1)).alias("comps")).where("comps > 1").select("key")
+    here = members.join(here.join(several, "key", "left_semi").select("key", "comp"), ["key", "comp"], "left_semi")
+    calls = mixed.where("comp != host").join(hosts, "host", "left_semi").select("key", "comp", "host")
+    guests = stored(members.join(calls, ["key", "comp"]).select("host", "doc", "comp").distinct(), "guests")
+    at_home = residents.join(hosts, "host", "left_semi")
+    dealt = stored(_in_buckets(here).unionByName(_at_hosts(at_home, guests)), "dealt")
+    shards = max(1, dealt.count() // SHARD)
+    rows = dealt.join(items, "doc")
     return rows.withColumn("shard", F.pmod(F.xxhash64(*BLOCK_KEY), F.lit(shards)))
 
 
@@ -284,7 +331,8 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column(0), pa.concat_arrays(parts)], names=["doc", "shingles"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc"), "text")
-    return map_batches(rows.join(broadcast_if_small(wanted), "doc", "left_semi"), make, "doc bigint, shingles array<bigint>")
+    likely = rows.where(likely_in(wanted, "doc"))  # few texts are shuffled in vain, at any size
+    return map_batches(likely.join(wanted.hint("shuffle_hash"), "doc", "left_semi"), make, "doc bigint, shingles array<bigint>")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -306,27 +354,28 @@ def classes(docs: DataFrame) -> DataFrame:
     marks = stored(fingerprints(docs), "fingerprints")
     ids = marks.where("n_shingles > 0 and doc_id is not null")
     equal = ids.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("first"))
+    equal = equal.select(F.col("f1").bitwiseXOR(F.lit(0)).alias("f1"), "f2", "n_shingles", "first")  # a shuffle of its own: hot sets are split
     copies = stored(ids.join(equal, ["f1", "f2", "n_shingles"]).select("doc_id", "first"), "copies")
     firsts = copies.where("doc_id = first").select("doc_id").distinct()
     chosen = ids.join(firsts, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch", "bands")
     items = chosen.drop("bands")
 
-    members = chosen.select("doc", F.explode("bands").alias("key"))
+    members = chosen.select("doc", F.posexplode("bands").alias("band", "key")).distinct()
     buckets = members.groupBy("key").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("total")).where("total > 1")
-    members = stored(members.join(buckets.drop("total"), "key").select("key", "doc", "pivot"), "members")
+    buckets = buckets.select(F.col("key").bitwiseXOR(F.lit(0)).alias("key"), "pivot")
+    members = stored(members.join(buckets, "key").select("key", "band", "doc", "pivot"), "members")
     star = members.where("doc != pivot").groupBy(F.col("doc").alias("b")).agg(F.min("pivot").alias("a"))
     tried = stored(_screened(star.select("a", "b"), items), "pairs")
     links = _verified(docs, tried)
 
     for turn in range(BEST_TURNS + 1):
-        named = members.join(components(links).withColumnRenamed("node", "doc"), "doc", "left").select(
-            "key", "doc", F.coalesce("component", "doc").alias("comp")
+        met = members.join(components(links).withColumnRenamed("node", "doc"), "doc", "left").select(
+            "key", "band", "doc", F.coalesce("component", "doc").alias("comp")
         )
-        mixed = named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-        unsettled = stored(named.join(mixed.select("key"), "key", "left_semi"), "unsettled")
-        blocked = _blocked(unsettled, chosen)
+        blocked = _blocked(stored(met, "met"), items)
         found = stored(_closest(blocked) if turn < BEST_TURNS else _remaining(blocked), "pairs")
-        pairs = stored(found.where("a is not null").select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = found.where("a is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
         links, tried = links.unionByName(_verified(docs, pairs)), tried.unionByName(pairs)
     dense = found.where("a is null").select(*BLOCK_KEY)
     if not dense.isEmpty():

@@ -70,13 +70,38 @@ def test_components_against_brute_force(docs, monkeypatch):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-def dealt(spark, comps):
-    """Blocks of one bucket whose member ``i`` is in component ``comps[i]``."""
-    members = spark.createDataFrame([(7, i, c) for i, c in enumerate(comps)], "key bigint, doc bigint, comp bigint")
-    items = spark.range(len(comps)).selectExpr("id as doc", "id as n", "binary('s') as sketch", "array(7L) as bands")
+def dealt(spark, comps, keys=(7,)):
+    """Blocks of buckets that all hold the members ``i`` in component ``comps[i]``."""
+    rows = [(k, band, i, c) for band, k in enumerate(keys) for i, c in enumerate(comps)]
+    members = spark.createDataFrame(rows, "key bigint, band int, doc bigint, comp bigint")
+    items = spark.range(len(comps)).selectExpr("id as doc", "id as n", "binary('s') as sketch")
     return m._blocked(members, items).collect()
 
 
+def met_pairs(rows):
+    blocks = defaultdict(list)
+    for r in rows:
+        blocks[r.key, r.part_a, r.part_b].append(r)
+    return Counter(
+        (a.doc, b.doc)
+        for (_, x, y), found in blocks.items()
+        for a in found
+        for b in found
+        if a.doc < b.doc and a.comp != b.comp and (x == y or a.part != b.part)
+    )
+
+
+def test_a_host_enters_once_however_many_buckets_hold_it(spark, monkeypatch):
+    monkeypatch.setattr(m, "BLOCK", 8)
+    comps = [0] * 100 + [1, 2, 2, *range(300, 306)]
+    rows = dealt(spark, comps, keys=range(40))
+    assert len([r for r in rows if r.comp == 0]) == 100 * 2  # nine guests are two parts
+    pairs = {(i, j) for j in range(len(comps)) for i in range(j) if comps[i] != comps[j]}
+    assert met_pairs(rows).keys() == pairs
+    single = dealt(spark, [5, 6], keys=range(40))  # two documents that meet everywhere
+    assert met_pairs(single).keys() == {(0, 1)} and len(single) == 2
+
+
 def test_shards_and_copies_of_a_hot_bucket_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(m, "BLOCK", 8)
     monkeypatch.setattr(m, "SHARD", 256)
@@ -85,16 +110,7 @@ def test_shards_and_copies_of_a_hot_bucket_are_bounded(spark, monkeypatch):
     rows = dealt(spark, [0] * 999 + [1])  # settled but for one member
     assert len(rows) < 1200
     comps = [0] * 60 + [1] * 30 + [2] * 5 + [3, 4, 5, 5]
-    blocks = defaultdict(list)
-    for r in dealt(spark, comps):
-        blocks[r.part_a, r.part_b].append(r)
-    met = Counter(
-        (a.doc, b.doc)
-        for (x, y), found in blocks.items()
-        for a in found
-        for b in found
-        if a.doc < b.doc and a.comp != b.comp and (x == y or a.part != b.part)
-    )
+    met = met_pairs(dealt(spark, comps))
     pairs = {(i, j) for j in range(len(comps)) for i in range(j) if comps[i] != comps[j]}
     assert met == dict.fromkeys(pairs, 1)
 
