@@ -369,6 +369,7 @@ SELECTS = {
         UNION ALL SELECT '{"localID":"' || user_id || '","content":"' || event_type || '"}', 'fewer than 3 fields'
         FROM events WHERE value > 300""",
     "stream_dedup": "SELECT client, op, task, result, status FROM posted",
+    "stream_once": "SELECT client, op, task, result, status FROM posted",
     "stream_progress": "SELECT client, done, total, done = total AS complete FROM progress",
     "stream_unresolved": "SELECT client, done, total - done AS missing FROM progress WHERE done <> total",
 }

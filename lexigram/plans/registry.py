@@ -26,6 +26,7 @@ from lexigram.sources import lists, ngrams, sinks
 from lexigram.sources.tables import read_table
 from lexigram.sources.text import trigrams_from_text, word_counts
 from lexigram.session import apply_settings, broadcast_if_small, scratch_dir, spread, stored
+from lexigram.streaming import completion, once
 from lexigram.streaming import tasks as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,8 @@ QUERIES: dict[str, Query] = {}
 
 STOPWORDS = 20
 NEXT_WORDS = 5
+#: A client is flushed after an hour without a record; records may arrive an hour late.
+IDLE_SECONDS, DELAY = 3600, "1 hour"
 
 #: Decimal places per measure of the nine sums and of the distances: PMI sums are large, counts are whole numbers.
 SUM_PLACES = {1: 4, 2: 9, 3: 4, 4: 6}
@@ -499,6 +502,13 @@ def stream_dedup(spark, sf_dir):
     return _append(stream.without_repeats(stream.task_results(_messages(spark, sf_dir)))).drop("ts")
 
 
+@query
+def stream_once(spark, sf_dir):
+    rows = stream.task_results(_messages(spark, sf_dir)).withColumn("is_open", F.col("status") == "open")
+    kept = once.run_once(rows, ["client", "task", "is_open"], scratch_dir(spark, "once"), scratch_dir(spark, "state"))
+    return kept.drop("ts", "is_open")
+
+
 @query
 def rejected_messages(spark, sf_dir):
     return _append(stream.rejected_messages(_messages(spark, sf_dir))).drop("ts")
@@ -512,3 +522,8 @@ def stream_progress(spark, sf_dir):
 @query
 def stream_unresolved(spark, sf_dir):
     return stream.unresolved(_progress(spark, sf_dir))
+
+
+@query
+def stream_outcomes(spark, sf_dir):
+    return _append(completion.outcomes(_messages(spark, sf_dir), IDLE_SECONDS, DELAY))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lexigram.functions.messages import encode
 from lexigram.plans import stand_ins as given
+from lexigram.streaming import completion, once
 from lexigram.streaming import tasks as stream
 
 START = datetime(2024, 5, 1)
@@ -98,3 +99,51 @@ def test_records_without_a_task_disturb_nothing(spark, queue, tmp_path):
     ]
     bad = stream.rejected_messages(spark.read.schema(stream.MESSAGE_SCHEMA).parquet(path)).collect()
     assert sorted(r.reason for r in bad) == ["fewer than 3 fields", "not a message"]
+
+
+def test_each_key_once_without_state(spark, queue, tmp_path, monkeypatch):
+    monkeypatch.setattr(once, "WORDS", 1)  # 64 bits per bucket: filters let much through, results stay exact
+    keys = ["client", "task"]
+    run = lambda out, path: once.run_once(
+        stream.task_results(stream.read_messages(spark, path, 1)), keys, str(tmp_path / out), str(tmp_path / f"{out}-state"), 2
+    )
+    sent = []
+    for batch in range(5):
+        rows = [(batch, c, done(f"t{k}")) for c in "ab" for k in range(batch * 20, batch * 20 + 30)] * 2
+        sent += rows
+        path = queue(*rows)
+    first = run("out", path)
+    pairs = sorted((r.client, r.task) for r in first.collect())
+    assert pairs == sorted({(c, x.split("\t")[1]) for _, c, x in sent})
+    assert first.columns == ["ts", "client", "op", "task", "result", "status"]
+    assert len(list((tmp_path / "out" / "filters").glob("snapshot-*"))) == 2
+    again = run("out", queue((9, "a", done("t0")), (9, "a", done("new"))))
+    assert sorted((r.client, r.task) for r in again.collect()) == sorted([*pairs, ("a", "new")])
+
+
+def test_only_buckets_that_may_hold_a_row_are_read(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = spark.range(500).selectExpr("id as k").withColumn("bucket", once._bucket(["k"]))
+    rows.write.partitionBy("bucket").parquet(f"{out}/rows/batch=0")
+    once._filter_of(rows.select("bucket", F.inline(once._bits(["k"])))).write.parquet(f"{out}/filters/batch-0")
+    new = spark.range(1000, 1200).selectExpr("id as k")
+    assert once.unseen(new, ["k"], out, 1) is new  # nothing to read
+    mixed = once.unseen(spark.range(499, 600).selectExpr("id as k"), ["k"], out, 1)
+    assert sorted(r.k for r in mixed.collect()) == list(range(500, 600))
+    assert "bucket" in mixed._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:60]
+
+
+def test_outcomes_by_timer(spark, queue, tmp_path):
+    path = queue((0, "a", "UPLOAD DONE-2"), (1, "a", done("t1")), (2, "b", done("t1")), (3, "c", "UPLOAD DONE-3"), (4, "c", done("t1")))
+    queue((5, "a", done("t1")), (6, "a", done("t2")))
+    queue((200, "d", done("t1")))  # the watermark passes b and c
+    queue((210, "c", done("t2")), (211, "c", done("t3")))
+    run = lambda: stream.run_append(
+        completion.outcomes(stream.read_messages(spark, path, 1), 60, "10 seconds"), str(tmp_path / "out"), str(tmp_path / "state")
+    )
+    rows = sorted(tuple(r) for r in run().collect())
+    assert ("a", "complete", 2, 0) in rows and ("b", "unresolved", 1, None) in rows
+    assert ("c", "complete", 3, 0) in rows and not any(r[0] == "d" for r in rows)
+    assert [r for r in rows if r[0] == "a"] == [("a", "complete", 2, 0)]
+    queue((400, "e", done("t1")))
+    assert ("d", "unresolved", 1, None) in {tuple(r) for r in run().collect()}
