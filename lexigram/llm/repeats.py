@@ -3,6 +3,9 @@
 Texts are UTF-8 bytes. A byte goes if it lies in a string of ``WINDOW`` bytes (a window) that also starts in a document with a
 smaller id. Windows never cross documents and are judged on the texts as given.
 
+*Copies.* A document whose whole text a smaller id has loses everything (if it holds a window) and takes nothing from others that
+its original doesn't; texts are compared by SHA-256. Copies take no part in what follows.
+
 *Fragments.* Among the ``WINDOW - K + 1`` strings of ``K`` bytes within a window, the one with the smallest hash (the leftmost, if
 equal) is its anchor. Consecutive windows with one anchor make a fragment, some 64 bytes. Equal windows have equal anchors,
 so all occurrences of a window lie in fragments of one anchor.
@@ -18,7 +21,7 @@ common prefix of ``WINDOW`` bytes or more begin with one window, whose smallest
 anchor is never split over shards, so a shard may be much larger where an anchor has very many different fragments: sorting then
 works from files. Decisions go back to the packs, where the bytes are removed.
 
-Equality is always decided on bytes, hashes only choose candidates. A null text is empty. Rows with a null doc_id neither lose
+Equality of passages is always decided on bytes, hashes only choose candidates. A null text is empty. Rows with a null doc_id neither lose
 anything nor make others lose; rows that repeat an id are one document, which doesn't remove its own passages. An empty table
 gives no rows. Columns with clashing names don't matter.
 """
@@ -30,10 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigram.llm.common import importable, map_batches, release
+from lexigram.llm.common import importable, likely_in, map_batches, release
 from lexigram.llm.induced import joined, sorted_suffixes
 from lexigram.llm.words import blocks, buffer, mix
 from lexigram.session import stored
@@ -222,11 +226,17 @@ def _digest(data: np.ndarray) -> str:
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
-CUT = f"{RESULT}, pack bigint, text string, place binary, idx binary, anchor bigint, bytes binary, low bigint, high bigint"
-_CUT = pa.schema([
-    *_RESULT, ("pack", pa.int64()), ("text", pa.string()), ("place", pa.binary()), ("idx", pa.binary()),
-    ("anchor", pa.int64()), ("bytes", pa.binary()), ("low", pa.int64()), ("high", pa.int64()),
-])
+#: Results so far, texts that await decisions, and one of fragments or decisions.
+OPEN = f"{RESULT}, pack bigint, text string, place binary, idx binary"
+_OPEN = [*_RESULT, ("pack", pa.int64()), ("text", pa.string()), ("place", pa.binary()), ("idx", pa.binary())]
+CUT = f"{OPEN}, fragment int, anchor bigint, bytes binary, low bigint, high bigint"
+_CUT = pa.schema([*_OPEN, ("fragment", pa.int32()), ("anchor", pa.int64()), ("bytes", pa.binary()), ("low", pa.int64()), ("high", pa.int64())])
+JUDGED = f"{OPEN}, fragment int, first int, last int, owner bigint"
+_JUDGED = pa.schema([*_OPEN, ("fragment", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("owner", pa.int64())])
+
+
+_OPEN_NAMES = [name for name, *_ in _OPEN[len(_RESULT) :]]
+_OPEN_NAMES = [*_RESULT.names, *_OPEN_NAMES]
 
 
 def _rows(schema: pa.Schema, **columns) -> pa.Table:
@@ -275,7 +285,7 @@ def _cut(docs: DataFrame, shared: DataFrame) -> DataFrame:
             place=[place[b:e].astype(np.int64).tobytes() for b, e in span], idx=[idx[b:e].astype(np.int32).tobytes() for b, e in span],
         ))
         out.append(_rows(
-            _CUT, pack=[number] * len(firsts), n_bytes=np.arange(len(firsts)), anchor=anchor[firsts],
+            _CUT, pack=[number] * len(firsts), fragment=np.arange(len(firsts), dtype=np.int32), anchor=anchor[firsts],
             bytes=[rows[f, : size[f]].tobytes() for f in firsts], low=low, high=high,
         ))
         release()
@@ -324,17 +334,23 @@ def judged(rows: np.ndarray, size: np.ndarray, anchor: np.ndarray, low: np.ndarr
     return first, owner
 
 
-def _decisions(fragments: DataFrame) -> DataFrame:
-    """``(pack, idx, first, last, owner)``: runs of windows of a pack's fragment and the smallest id that holds them, where some document
-    of the pack has a larger one."""
+def _decided(parts: DataFrame, shards: int) -> DataFrame:
+    """Results and open texts as they are; for the fragments runs of windows and the smallest id that holds them, where some
+    document of the pack has a larger one."""
 
     def shard(table: pa.Table) -> pa.Table:
+        is_fragment = table["anchor"].is_valid()
+        others = table.filter(pc.invert(is_fragment)).select(_OPEN_NAMES)
+        others = pa.table([*others.columns, *[pa.nulls(len(others), f.type) for f in _JUDGED][len(_OPEN_NAMES) :]], schema=_JUDGED)
+        table = table.filter(is_fragment)
+        if not len(table):
+            return others
         column = table["bytes"].combine_chunks()
         offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
         data, size = np.frombuffer(column.buffers()[2], np.uint8), np.diff(offsets)
         rows = data[np.minimum(offsets[:-1, None] + np.arange(LONGEST), len(data) - 1)]
         rows[np.arange(LONGEST) >= size[:, None]] = 0
-        low, high, anchor, packs, idx = (table[c].to_numpy() for c in ("low", "high", "anchor", "pack", "idx"))
+        low, high, anchor, packs, number = (table[c].to_numpy() for c in ("low", "high", "anchor", "pack", "fragment"))
         first, owner = judged(rows, size, anchor, low)
         of = np.repeat(np.arange(len(size)), np.diff(first))
         edge = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (of[1:] != of[:-1])))
@@ -342,19 +358,20 @@ def _decisions(fragments: DataFrame) -> DataFrame:
         keep = owner[edge] < high[of[edge]]
         edge, last = edge[keep], last[keep]
         of = of[edge]
+        found = _rows(
+            _JUDGED, pack=packs[of], fragment=number[of].astype(np.int32), first=(edge - first[of]).astype(np.int32),
+            last=(last - first[of]).astype(np.int32), owner=owner[edge],
+        )
         release()
-        return pa.table({
-            "pack": packs[of], "idx": idx[of].astype(np.int32), "first": (edge - first[of]).astype(np.int32),
-            "last": (last - first[of]).astype(np.int32), "owner": owner[edge],
-        })
+        return pa.concat_tables([others, found])
 
-    chosen = fragments.select("shard", "pack", F.col("n_bytes").alias("idx"), "anchor", "bytes", "low", "high")
-    return chosen.groupBy("shard").applyInArrow(shard, "pack bigint, idx int, first int, last int, owner bigint")
+    dealt = parts.withColumn("shard", F.pmod(F.coalesce("anchor", F.xxhash64("doc_id")), F.lit(shards)))
+    return dealt.groupBy("shard").applyInArrow(lambda table: shard(table.drop_columns("shard")), JUDGED)
 
 
 def _removed(open_: DataFrame, decisions: DataFrame) -> DataFrame:
     def pack(left: pa.Table, right: pa.Table) -> pa.Table:
-        idx, first, last, owner = (right[c].to_numpy() for c in ("idx", "first", "last", "owner"))
+        idx, first, last, owner = (right[c].to_numpy() for c in ("fragment", "first", "last", "owner"))
         order = np.argsort(idx, kind="stable")
         idx, first, last, owner = idx[order], first[order], last[order], owner[order]
         out = []
@@ -378,23 +395,44 @@ def _removed(open_: DataFrame, decisions: DataFrame) -> DataFrame:
     return open_.groupBy("pack").cogroup(decisions.groupBy("pack")).applyInArrow(pack, RESULT)
 
 
+def _copies(known: DataFrame) -> DataFrame:
+    """``(doc_id, n_bytes, digest)`` of documents whose whole text a document with a smaller id has."""
+    marks = stored(known.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("digest")), "digests")
+    first = marks.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    met = marks.join(first.select(F.concat("digest", F.lit("")).alias("digest"), "first"), "digest")  # its own shuffle: hot texts are split
+    return stored(met.where("doc_id > first").select("doc_id", "n_bytes", "digest"), "copies")
+
+
 def report(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` per row of ``docs`` (doc_id, text, ...)."""
     importable(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    known = rows.where("doc_id is not null").withColumn("pack", F.floor(F.col("doc_id") / PACK).cast("bigint"))
-    total = known.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first()["n"] or 0
+    named = rows.where("doc_id is not null")
+    copies = _copies(named)
+    ids = copies.select("doc_id").distinct()
+    perhaps = likely_in(ids, "doc_id")  # only texts that are likely copies are shuffled to tell
+    marked = named.where(perhaps).withColumn("digest", F.sha2("text", 256))
+    rest = marked.join(copies.select("doc_id", "digest").hint("shuffle_hash"), ["doc_id", "digest"], "left_anti").drop("digest")
+    known = named.where(~perhaps).unionByName(rest).withColumn("pack", F.floor(F.col("doc_id") / PACK).cast("bigint"))
+
+    total = named.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first()["n"] or 0
     shared = stored(_shared(_anchors(known, max(1, 2 * total // (STRINGS + 1) // RANGE))), "anchors")
-    parts = stored(_cut(known, shared), "fragments")
-    size = parts.where("anchor is not null").agg(F.sum(F.octet_length("bytes").cast("bigint")).alias("n")).first()["n"] or 0
-    fragments = parts.where("anchor is not null").withColumn("shard", F.pmod("anchor", F.lit(max(1, size // SHARD))))
-    decisions = stored(_decisions(fragments), "decisions")
-    removed = _removed(parts.where("text is not null").select("pack", "doc_id", "text", "place", "idx"), decisions)
+    fragments = shared.agg(F.sum(F.octet_length("codes").cast("bigint") / 8).alias("n")).first()["n"] or 0
+    shards = max(1, int(fragments * (WINDOW + STRINGS // 2)) // SHARD)
+    parts = stored(_decided(_cut(known, shared), shards), "decided")
+    open_ = parts.where("text is not null").select("pack", "doc_id", "text", "place", "idx")
+    removed = _removed(open_, parts.where("owner is not null").select("pack", "fragment", "first", "last", "owner"))
     finished = parts.where("kept_sha256 is not null").select(*_RESULT.names)
 
+    whole = F.col("n_bytes") >= WINDOW
+    again = copies.select(
+        "doc_id", "n_bytes", F.when(whole, F.col("n_bytes")).otherwise(0).alias("n_removed"),
+        whole.cast("bigint").alias("n_spans"), F.when(whole, hashlib.sha256().hexdigest()).otherwise(F.col("digest")).alias("kept_sha256"),
+    )
+
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from _whole(batch.column(0), batch.column(1)).to_batches()
 
     nameless = rows.where("doc_id is null").mapInArrow(keep, RESULT)
-    return finished.unionByName(removed).unionByName(nameless)
+    return finished.unionByName(removed).unionByName(again).unionByName(nameless)
