@@ -101,6 +101,8 @@ CTES = {
                  ELSE 'DoneLocalId' || user_id || event_id || 'ToText.txt' END AS result,
             CASE WHEN value > 300 THEN 'open' WHEN event_type = 'error' THEN 'error' ELSE 'done' END AS status, value
         FROM events""",
+    "deliveries": """SELECT user_id, ts + CASE WHEN value > 30 AND value <= 300 THEN INTERVAL 30 SECOND ELSE INTERVAL 0 SECOND END AS sent
+        FROM events""",
     "progress": """SELECT CAST(user_id AS VARCHAR) AS client, CAST(count(*) FILTER (value <= 300) AS BIGINT) AS done,
             CAST(count(*) AS BIGINT) AS total FROM events GROUP BY user_id""",
 }
@@ -272,6 +274,12 @@ SELECTS = {
     "corpus_subset": """SELECT CAST(percent AS INTEGER) AS percent, CAST(count(*) AS BIGINT) AS n_docs,
         CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents, (VALUES (1), (10), (100)) t(percent)
         WHERE doc_id % 100 < percent GROUP BY percent""",
+    "corpus_shard_files": """SELECT CAST(doc_id % 8 AS INTEGER) AS shard, count(*) AS n_docs, CAST(sum(n_chars) AS BIGINT) AS n_chars
+        FROM documents WHERE doc_id % 8 < 2 GROUP BY ALL""",
+    "rejected_gold_lines": "SELECT text AS line, 'fewer than 2 fields' AS reason FROM conversations",
+    "rejected_manifest_lines": "SELECT role AS client, text AS line, 'fewer than 2 fields' AS reason FROM conversations",
+    "labelled_csv": f"""SELECT w1, w2, {_distances(0, 1, 2, 3, 4, 5)}, label AS result
+        FROM sums LEFT JOIN gold USING (w1, w2)""",
     "bigram_counts": "SELECT * FROM bi",
     "unigram_counts": "SELECT * FROM uni",
     "corpus_size": "SELECT * FROM size0",
@@ -371,6 +379,11 @@ SELECTS = {
     "stream_dedup": "SELECT client, op, task, result, status FROM posted",
     "stream_once": "SELECT client, op, task, result, status FROM posted",
     "stream_progress": "SELECT client, done, total, done = total AS complete FROM progress",
+    "stream_outcomes": """SELECT client, CASE WHEN done = total THEN 'complete' ELSE 'unresolved' END AS status, done,
+            total - done AS missing
+        FROM progress JOIN (SELECT CAST(user_id AS VARCHAR) AS client, max(sent) AS last FROM deliveries GROUP BY user_id) USING (client),
+            (SELECT max(sent) AS ends FROM deliveries)
+        WHERE done = total OR last + INTERVAL 1 HOUR <= ends - INTERVAL 1 HOUR""",
     "stream_unresolved": "SELECT client, done, total - done AS missing FROM progress WHERE done <> total",
 }
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexigram.functions.stem import stem_columns
 from lexigram.operators.counts import join_key
+from lexigram.session import broadcast_if_small, stored
 
 
 def stem_vocabulary(words: DataFrame) -> DataFrame:
@@ -17,13 +18,15 @@ def stem_vocabulary(words: DataFrame) -> DataFrame:
 def with_stems(rows: DataFrame, *names: str) -> DataFrame:
     """``rows`` with the named word columns replaced by their stems.
 
-    Each distinct word is stemmed once, then joined back by a shuffle of its own in which hot words are split. ``rows`` is
-    read once per column and once for the words: give it a written table.
+    Each distinct word is stemmed once and written. A vocabulary that was measured to be small is then broadcast, so that all
+    columns are replaced in one pass; a larger one is joined by shuffles of its own, in which hot words are split.
+    ``rows`` is read once for the words and once more: give it a written table.
     """
     words = rows.select(F.explode(F.array_distinct(F.array(*names))).alias("word"))
-    stems = stem_vocabulary(words)
+    stems = stored(stem_vocabulary(words), "stems")
+    small = broadcast_if_small(stems)
     for name in names:
-        stem = stems.select(join_key("word", name), F.col("stem").alias(f"__stem_{name}"))
+        stem = small.select(F.col("word").alias(name) if small is not stems else join_key("word", name), F.col("stem").alias(f"__stem_{name}"))
         rows = rows.join(stem, name).withColumn(name, F.col(f"__stem_{name}")).drop(f"__stem_{name}")
     return rows
 

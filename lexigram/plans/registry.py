@@ -107,6 +107,17 @@ def corpus_subset(spark, sf_dir):
     return docs.groupBy("percent").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("n_chars"))
 
 
+@query
+def corpus_shard_files(spark, sf_dir):
+    """A quarter of the corpus by choosing files: eight shards are written, the first two are read."""
+    path = scratch_dir(spark, "shards")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars", F.pmod("doc_id", F.lit(8)).alias("shard"))
+    docs.write.partitionBy("shard").parquet(path)
+    chosen = lists.corpus_shards(lists.shard_files(spark, path), 25)
+    rows = spark.read.option("basePath", path).schema("doc_id bigint, n_chars bigint, shard int").parquet(*chosen)
+    return rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("n_chars"))
+
+
 @query
 def bigram_counts(spark, sf_dir):
     return ct.bigram_totals(ct.pair_roles(given.trigrams(spark, sf_dir)))
@@ -341,6 +352,12 @@ def _pair_sums(spark, sf_dir):
     return similarity.sums(_dependency_lines(spark, sf_dir), _gold(spark, sf_dir), stem=False)
 
 
+@query
+def rejected_gold_lines(spark, sf_dir):
+    turns = read_table(spark, sf_dir, "conversations").select(F.col("text").alias("value"))
+    return lists.rejected_gold_lines(given.gold_lines(spark, sf_dir).unionByName(turns))
+
+
 @query
 def gold_pairs(spark, sf_dir):
     return lists.gold_pairs(given.gold_lines(spark, sf_dir), stem=False)
@@ -403,6 +420,15 @@ def labelled_matrix(spark, sf_dir):
     return rounded(rows, _distance_places(rows.columns))
 
 
+@query
+def labelled_csv(spark, sf_dir):
+    """The labelled matrix as one ordered file with one header, read back."""
+    rows = QUERIES["labelled_matrix"](spark, sf_dir)
+    path = f"{scratch_dir(spark, 'labelled')}.csv"
+    sinks.write_single_csv(rows, path, ["w1", "w2"])
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
 # ---- stemming ----
 
 
@@ -447,6 +473,12 @@ def task_manifest(spark, sf_dir):
     return _tasks(spark, sf_dir)
 
 
+@query
+def rejected_manifest_lines(spark, sf_dir):
+    turns = read_table(spark, sf_dir, "conversations").select(F.col("role").alias("client"), F.col("text").alias("line"))
+    return lists.rejected_manifest_lines(given.manifest_lines(spark, sf_dir).unionByName(turns))
+
+
 @query
 def doc_to_text(spark, sf_dir):
     return _pages(spark, sf_dir).select("page_id", html_to_text(F.col("html")).alias("content"))

@@ -48,8 +48,18 @@ def local_session(
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder that every executor can reach: below ``spark.checkpoint.dir``, or below the warehouse if unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    """A fresh folder that every executor can reach: below ``spark.checkpoint.dir``; if that is unset, below the warehouse.
+
+    A warehouse on the machine's own disk serves only a local master: on a cluster each executor would write to its own.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        master = spark.sparkContext.master
+        on_cluster = not master.startswith("local") or master.startswith("local-cluster")
+        if on_cluster and warehouse.startswith(("file:", "/")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"{warehouse}/scratch"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

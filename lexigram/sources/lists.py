@@ -15,6 +15,12 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("word")).distinct()
 
 
+def rejected_gold_lines(lines: DataFrame, line: str = "value") -> DataFrame:
+    """``(line, reason)`` of the lines that name no pair."""
+    fields = lines.select(F.col(line).alias("line"), F.size(F.split(line, "\t")).alias("n"))
+    return fields.where(F.col("line").isNull() | (F.col("n") < 2)).select("line", F.lit("fewer than 2 fields").alias("reason"))
+
+
 def gold_pairs(lines: DataFrame, stem: bool = True, line: str = "value") -> DataFrame:
     """``w1 TAB w2 TAB label`` to distinct ``(w1, w2, label)``; pairs that fall together keep the largest label."""
     parts = lines.select(F.split(line, "\t").alias("p")).select(
@@ -49,6 +55,20 @@ def read_manifests(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select(name.alias("client"), F.col("value").alias("line"))
 
 
+def rejected_manifest_lines(lines: DataFrame) -> DataFrame:
+    """``(client, line, reason)`` of manifest lines ``(client, line)`` that name no task."""
+    fields = lines.select("client", "line", F.split("line", "\t").alias("p"))
+    reason = F.when(F.col("p").isNull() | (F.size("p") < 2), "fewer than 2 fields").when(F.get("p", F.lit(1)) == "", "no address")
+    return fields.select("client", "line", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def shard_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a corpus folder, in order: its shards. Hidden files and markers are none."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = [s.getPath() for s in top.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(top)]
+    return sorted(str(p.toString()) for p in found if p.getName()[0] not in "._")
+
+
 def parse_manifest(lines: DataFrame) -> DataFrame:
     """``(client, line)`` with ``op TAB url`` lines to ``(client, op, url)``."""
     parts = lines.select("client", F.split("line", "\t").alias("p"))

@@ -16,7 +16,7 @@ from lexigram.plans.registry import QUERIES
 from lexigram.session import apply_settings, broadcast_if_small, scratch_dir, spread, stored
 
 #: Queries whose result is one plan over the tables; the others read back what a stream or a sink has written.
-WRITTEN = {"rejected_messages", "sequence_file_counts"}
+WRITTEN = {"rejected_messages", "sequence_file_counts", "labelled_csv"}
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream_") and n not in WRITTEN)
 
 

@@ -4,6 +4,7 @@ from pathlib import Path
 import pytest
 
 from lexigram.operators.counts import trigram_totals
+from lexigram.session import scratch_dir
 from lexigram.sources import lists, ngrams, sinks
 from lexigram.sources.dependency import parse_dependency_lines
 
@@ -86,6 +87,62 @@ def test_csv_matrix_and_labels(spark, tmp_path):
     sinks.write_csv(matrix, str(tmp_path / "matrix"))
     gold = spark.createDataFrame([("a", "b", "True")], "w1 string, w2 string, label string")
     sinks.merge_labelled_csv(str(tmp_path / "matrix"), str(tmp_path / "out"), gold)
+    assert (tmp_path / "out").is_file()
     back = spark.read.option("header", True).csv(str(tmp_path / "out"))
     assert back.columns == ["w1", "w2", *[f"c{i}" for i in range(1, 25)], "result"]
     assert {(r.w1, r.c24, r.result) for r in back.collect()} == {("a", "24.5", "True"), ("c", "24.5", None)}
+
+
+def test_one_file_one_header_in_order(spark, tmp_path):
+    rows = [(i * 7919 % 1000, f'é, "{i}"') for i in range(1000)]
+    table = spark.createDataFrame(rows, "k int, `a,b` string").repartition(9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_single_csv(table, str(tmp_path / "one.csv"), ["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    lines = (tmp_path / "one.csv").read_text(encoding="utf-8").splitlines()
+    assert lines[0] == 'k,"a,b"' and len(lines) == 1001
+    assert [int(x.split(",")[0]) for x in lines[1:]] == list(range(1000))
+    back = spark.read.option("header", True).csv(str(tmp_path / "one.csv"))
+    assert {(int(r.k), r["a,b"]) for r in back.collect()} == set(rows)
+    sinks.write_single_csv(table.where("k < 0"), str(tmp_path / "none.csv"), ["k"])
+    assert (tmp_path / "none.csv").read_text() == 'k,"a,b"\n'
+
+
+def test_rejects_of_gold_and_manifest_lines(spark, lines):
+    bad = lists.rejected_gold_lines(lines("a\tb\t1", "a\tb", "alone", "", None))
+    assert sorted(str(r.line) for r in bad.collect()) == ["", "None", "alone"]
+    tasks = spark.createDataFrame([("c", "ToText\tu"), ("c", "ToText"), ("d", "ToText\t"), ("d", None)], "client string, line string")
+    got = {(r.client, r.line, r.reason) for r in lists.rejected_manifest_lines(tasks).collect()}
+    assert got == {("c", "ToText", "fewer than 2 fields"), ("d", "ToText\t", "no address"), ("d", None, "fewer than 2 fields")}
+
+
+def test_shard_files_are_chosen_by_name(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 10 as shard").write.partitionBy("shard").parquet(str(tmp_path / "corpus"))
+    found = lists.shard_files(spark, str(tmp_path / "corpus"))
+    assert [f.rsplit("=")[1] for f in found] == [str(i) for i in range(10)]
+    chosen = lists.corpus_shards(found, 15)
+    assert spark.read.parquet(*chosen).selectExpr("id % 10 as s").distinct().count() == 2
+
+
+def test_sequence_files_are_split(spark, lines, tmp_path):
+    many = spark.range(30_000).selectExpr("concat('w', id, ' b c\t2000\t1') as value").coalesce(1)
+    ngrams.write_sequence_file(many, str(tmp_path / "seq"))
+    back = ngrams.read_sequence_file(spark, str(tmp_path / "seq"), splits=6)
+    assert back.count() == 30_000 and back.distinct().count() == 30_000
+    assert len([f for f in back.inputFiles() if not f.endswith("_SUCCESS")]) >= 6
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.sql.warehouse.dir": "file:/x/spark-warehouse"}.get(key, default))
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_dir(Session, "x")
+    Session.sparkContext.master = "local[4]"
+    assert scratch_dir(Session, "x").startswith("file:/x/spark-warehouse/scratch/x-")
