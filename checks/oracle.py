@@ -75,13 +75,14 @@ CTES = {
     + " FROM cells GROUP BY w1, w2",
     "manifest": """SELECT CAST(page_id % 7 AS VARCHAR) AS client,
             ['ToText', 'ToHTML', 'ToImage', 'ToSpeech'][page_id % 4 + 1] AS op, url, html FROM pages""",
-    "texts": r"""SELECT page_id, url, trim(regexp_replace(
-            replace(replace(replace(replace(replace(replace(
-            regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-                html, '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'),
-                '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'),
-            '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'),
-            '[ \t\r\n]+', ' ', 'g')) AS text FROM pages""",
+    "bare": r"""SELECT page_id, url, string_split(regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>'
+            || '|</?[a-z](?:[^"''>]|"[^"]*"|''[^'']*'')*>|<[^>]*>', ' ', 'g'), '&') AS ps FROM pages""",
+    "texts": r"""SELECT page_id, url, trim(regexp_replace(ps[1] || array_to_string(list_transform(ps[2:], lambda p:
+            coalesce(CASE regexp_extract(p, '^(#?[A-Za-z0-9]{1,8});', 1) WHEN 'lt' THEN '<' WHEN 'gt' THEN '>' WHEN 'quot' THEN '"'
+                WHEN 'apos' THEN '''' WHEN 'nbsp' THEN ' ' WHEN '#160' THEN ' ' WHEN 'amp' THEN '&'
+                ELSE chr(TRY_CAST(regexp_extract(p, '^#([0-9]{1,7});', 1) AS INTEGER)) END
+                || regexp_replace(p, '^#?[A-Za-z0-9]{1,8};', ''), '&' || p)), ''),
+            '[ \t\r\n]+', ' ', 'g')) AS text FROM bare""",
     "keys": r"""SELECT client, op, url, html, 'DoneLocalId' || client || regexp_extract(url, '([^/]+)/*$', 1) || op
             || CASE op WHEN 'ToText' THEN '.txt' WHEN 'ToHTML' THEN '.html' WHEN 'ToImage' THEN '.jpg' END AS output_key
         FROM manifest""",
@@ -254,6 +255,7 @@ SELECTS = {
         UNION ALL SELECT 'dependency', CASE WHEN regexp_matches(text, '^\p{L}') THEN 'fewer than 3 fields or no count'
                ELSE 'head does not start with a letter' END, text FROM conversations""",
     "trigram_counts": "SELECT * FROM tri",
+    "trigram_counts_merged": "SELECT * FROM tri",
     "stopword_filter": """WITH_STOP SELECT * FROM tri WHERE w1 NOT IN (SELECT word FROM stop)
         AND w2 NOT IN (SELECT word FROM stop) AND w3 NOT IN (SELECT word FROM stop)""",
     "stopword_filter_from_file": """WITH_STOP SELECT * FROM tri WHERE w1 NOT IN (SELECT word FROM stop)

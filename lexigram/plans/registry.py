@@ -23,6 +23,7 @@ from lexigram.plans import next_word, similarity
 from lexigram.plans import stand_ins as given
 from lexigram.sources import dependency as dep
 from lexigram.sources import lists, ngrams, sinks
+from lexigram.sources.count_store import CountStore
 from lexigram.sources.tables import read_table
 from lexigram.sources.text import trigrams_from_text, word_counts
 from lexigram.session import apply_settings, broadcast_if_small, scratch_dir, spread, stored
@@ -92,6 +93,16 @@ def trigram_counts(spark, sf_dir):
     return ct.trigram_totals(ngrams.parse_ngram_lines(given.ngram_lines(spark, sf_dir)))
 
 
+@query
+def trigram_counts_merged(spark, sf_dir):
+    """The counts of the corpus, added shard by shard to a store of counts."""
+    store = CountStore(spark, scratch_dir(spark, "counts"), ["w1", "w2", "w3"])
+    docs = given.documents(spark, sf_dir)
+    for shard in range(3):
+        store.merge(trigrams_from_text(docs.where(F.pmod("doc_id", F.lit(3)) == shard)))
+    return store.read()
+
+
 @query
 def stopword_filter(spark, sf_dir):
     counted = given.trigrams(spark, sf_dir)

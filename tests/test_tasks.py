@@ -113,3 +113,25 @@ def test_pages_stored_twice_give_one_row_per_task(spark):
     got = [(r.client, r.op, r.status) for r in convert(tasks, pages).collect()]
     assert sorted(got) == [("c", "ToHTML", "done"), ("c", "ToText", "done"), ("d", "ToText", "done")]
     assert {r.content for r in convert(tasks, pages).where("op = 'ToText'").collect()} == {"a"}
+
+
+def test_markup_and_references(spark):
+    cases = {
+        '<a title="1 > 0">x</a>': "x",
+        "<a title='>\"'>x</a>": "x",
+        '<p class="open>x</p> y': "x y",
+        "<!-- <script> --> a <!-- b > c -->d": "a d",
+        "<SCRIPT>if (a < b) '<!--'</script >x<style>p > q</STYLE>y": "x y",
+        "3 < 4 and 5 > 2": "3 2",
+        "&amp;lt; &lt;&#60;&#x3c;&#X3C;": "&lt; <<<<",
+        "&#233;&#x1F600;&#160;z": "é😀 z",
+        "&unknown; &; & &amp &#0; &#xD800; &#1114112; a&b;c": "&unknown; &; & &amp &#0; &#xD800; &#1114112; a&b;c",
+        "&apos;&quot;&nbsp;&gt;": "'\" >",
+        "plain": "plain",
+        "": "",
+        "<p" + " a='b'" * 20_000 + ">x": "x",
+    }
+    table = spark.createDataFrame(list(cases.items()), "html string, text string")
+    for r in table.select("html", "text", html_to_text(F.col("html")).alias("got")).collect():
+        assert r.got == r.text, r.html[:80]
+    assert spark.sql("select cast(null as string) as h").select(html_to_text(F.col("h"))).first()[0] is None
