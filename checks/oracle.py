@@ -286,6 +286,9 @@ SELECTS = {
     "unigram_counts": "SELECT * FROM uni",
     "corpus_size": "SELECT * FROM size0",
     "corpus_size_direct": "SELECT CAST(3 * sum(n) AS BIGINT) AS c0 FROM tri",
+    "corpus_size_observed": """SELECT CAST(3 * sum(n) AS BIGINT) AS c0, CAST(sum(n) AS BIGINT) AS occurrences, count(*) AS "distinct"
+        FROM tri""",
+    "corpus_totals_observed": "SELECT l, f FROM totals",
     "trigram_with_c12": "SELECT w1, w2, w3, n, c12 FROM stats",
     "trigram_with_c23": "SELECT w1, w2, w3, n, c23 FROM stats",
     "trigram_with_unigrams": "SELECT w1, w2, w3, n, c2, c3 FROM stats",

@@ -16,6 +16,7 @@ from lexigram.functions.scoring import significant
 from lexigram.operators import cooccurrence as co
 from lexigram.operators import counts as ct
 from lexigram.operators import next_word as nw
+from lexigram.operators import observed
 from lexigram.operators import similarity as sim
 from lexigram.operators.stemming import stem_vocabulary, stemmed_counts
 from lexigram.operators.tasks import client_progress, convert, report_lines
@@ -149,6 +150,11 @@ def corpus_size_direct(spark, sf_dir):
     return ct.corpus_size_direct(given.trigrams(spark, sf_dir))
 
 
+@query
+def corpus_size_observed(spark, sf_dir):
+    return observed.trigrams_with_size(given.trigrams(spark, sf_dir))[1]
+
+
 # ---- files: written to the shared folder and read back ----
 
 
@@ -337,6 +343,11 @@ def corpus_totals(spark, sf_dir):
     return co.corpus_totals(_cooccurrence(spark, sf_dir))
 
 
+@query
+def corpus_totals_observed(spark, sf_dir):
+    return observed.cooccurrence_with_totals(_cooccurrence(spark, sf_dir))[1]
+
+
 @query
 def association(spark, sf_dir):
     return rounded(co.associations(_cooccurrence(spark, sf_dir)), {"a1": 9, "a2": 9, "a3": 9, "a4": 9})
