@@ -1,9 +1,10 @@
 """Main text of web pages: per-host templates are found by counting element subtrees, and cut out.
 
 *Pass 1* parses every page into a tree of its block elements and hashes each subtree (tag, class, id, text, children). Spark
-counts for each host on how many of its pages a subtree stands; pages of a host with equal main text count once, so copies of
-an article don't make its paragraphs a template. Subtrees on at least ``MIN_PAGES`` such pages are templates, however many pages
-the host has.
+counts on how many pages of its host, and of its section of the host (the path up to the last slash), a subtree stands; pages
+of equal main text count once, so copies of an article don't make its paragraphs a template. Beside the article, subtrees on at
+least ``MIN_PAGES`` pages of a host are templates, however many pages it has. Within it, where a table or list may be the
+article's own, they are templates only if they also stand on ``SHARE`` of the pages of the section or the host.
 
 *Pass 2* gives each page the templates that it holds, drops them, and writes out the rest of the article.
 
@@ -11,7 +12,7 @@ Besides templates, elements that say what they are go: navigation, headers, foot
 and elements whose class, id or role names a menu, advert, notice, sidebar, reader comments and the like. The article is what
 stands in ``article`` elements, else in ``main`` or its like, else in the body. Headings of a header within it stay, be it one by tag
 or by class or id. Paragraphs within
-such an element are templates only as notices, on at least ``NOTICE_PAGES`` pages and ``NOTICE_SHARE`` of the host's pages: a line
+an article element are templates only as notices, on at least ``NOTICE_PAGES`` pages and ``NOTICE_SHARE`` of the host's pages: a line
 that many stories share is text. Headings, list items, cells and the like within it are never taken for a template.
 
 Blocks are joined by one newline in page order; white space within a block, ``br`` included, is one blank; character references
@@ -30,9 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigram.llm.common import map_batches
-from lexigram.session import broadcast_if_small, stored
+from lexigram.session import stored
 
 MIN_PAGES = 4
+SHARE = 0.5
 NOTICE_PAGES, NOTICE_SHARE = 20, 0.95
 
 _MARKUP = re.compile(
@@ -54,8 +56,10 @@ _INLINE = frozenset(
 _VOID = frozenset("area base col embed hr param track".split())
 _DROPPED = frozenset("head nav footer aside form menu dialog button fieldset audio video canvas map".split())
 _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dd dt figcaption td th tr tbody caption address".split())
-#: Text blocks that may be notices within an article; ``_NOTICE`` keeps their keys apart from those outside.
-_NOTICES, _NOTICE = frozenset("p pre blockquote address".split()), 0x5DEECE66D
+#: Text blocks that may be notices within an article; ``_MARKS`` keep the keys of notices and of what stands within an article apart.
+_NOTICES = frozenset("p pre blockquote address".split())
+BESIDE, NOTICE, WITHIN = range(3)
+_MARKS = (0, 0x5DEECE66D, 0x2545F4914F6CDD1D)
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Starting one of these ends an open one of those.
 _ENDS = {t: frozenset([t]) for t in ("li", "tr", "option")}
@@ -198,8 +202,19 @@ def _main_nodes(root: Node) -> list[Node]:
     return empty or [root]
 
 
-def removable(root: Node) -> list[tuple[int, bool]]:
-    """Keys of the subtrees that may be templates, and whether only as notices within the article."""
+def _kind(node: Node, in_article: bool, whole: bool) -> int | None:
+    """What a subtree must be to be a template; None if it can't be one."""
+    if whole:
+        return WITHIN
+    if not in_article:
+        return BESIDE
+    if node.tag not in _TEXT_BLOCKS:
+        return WITHIN
+    return NOTICE if node.tag in _NOTICES else None
+
+
+def removable(root: Node) -> list[tuple[int, int]]:
+    """Keys of the subtrees that may be templates, and their kinds."""
     mains = _main_nodes(root)
     whole = mains == [root]
     around = {id(n) for n in mains}
@@ -210,10 +225,8 @@ def removable(root: Node) -> list[tuple[int, bool]]:
     while todo:
         node, in_main = todo.pop()
         if node.chars and id(node) not in around and node.tag not in ("body", "head"):
-            if not in_main or node.tag not in _TEXT_BLOCKS:
-                keys.add((node.key, False))
-            elif node.tag in _NOTICES:
-                keys.add((node.key ^ _NOTICE, True))
+            if (kind := _kind(node, in_main, whole)) is not None:
+                keys.add((node.key ^ _MARKS[kind], kind))
         in_main = in_main or (node in mains and not whole)
         todo.extend((c, in_main) for c in node.children if isinstance(c, Node))
     return sorted(keys)
@@ -236,9 +249,8 @@ def _blocks_text(root: Node, templates: frozenset[int], by_name: bool) -> str:
     whole = mains == [root]
 
     def template(node: Node) -> bool:
-        if whole or node.tag not in _TEXT_BLOCKS:
-            return node.key in templates
-        return node.tag in _NOTICES and node.key ^ _NOTICE in templates
+        kind = _kind(node, True, whole)
+        return kind is not None and node.key ^ _MARKS[kind] in templates
 
     def walk(top: Node) -> None:
         todo: list = [(top, False)]
@@ -270,45 +282,61 @@ def host(url: Column) -> Column:
     return F.regexp_extract(F.lower(url), r"^\s*(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1)
 
 
+def section(url: Column) -> Column:
+    """The path of a URL up to its last slash."""
+    return F.regexp_extract(url, r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]+((?:/[^/?#]*)*/)", 1)
+
+
 def subtrees(pages: DataFrame) -> DataFrame:
-    """``(page, host, content, subtree, notice)``: the distinct removable subtrees of each page. ``pages``: page, host, html."""
+    """``(page, host, section, content, subtree, kind)``: the distinct removable subtrees of each page. ``pages``: page, host,
+    section, html."""
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns: list[list] = [[], [], [], [], []]
-        for page, name, html in zip(*(c.to_pylist() for c in batch.columns)):
+        columns: list[list] = [[] for _ in range(6)]
+        for page, name, part, html in zip(*(c.to_pylist() for c in batch.columns)):
             root = parse(html)
             hash_subtrees(root)
             content = xxhash.xxh64_intdigest(main_text(root)) - 2**63
-            for key, notice in removable(root):
-                for column, value in zip(columns, (page, name, content, key, notice)):
+            for key, kind in removable(root):
+                for column, value in zip(columns, (page, name, part, content, key, kind)):
                     column.append(value)
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
-        arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
-        return pa.RecordBatch.from_arrays(arrays, names=["page", "host", "content", "subtree", "notice"])
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32())
+        names = ["page", "host", "section", "content", "subtree", "kind"]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+
+    schema = "page bigint, host string, section string, content bigint, subtree bigint, kind int"
+    return map_batches(pages.select("page", "host", "section", "html"), make, schema)
+
 
-    schema = "page bigint, host string, content bigint, subtree bigint, notice boolean"
-    return map_batches(pages.select("page", "host", "html"), make, schema)
+def _scoped(found: DataFrame) -> DataFrame:
+    """Subtrees once for their host (a scope), and once more for their section if that counts for their kind."""
+    whole = F.col("host")
+    part = F.concat_ws(" ", "host", "section")
+    return found.withColumn("scope", F.explode(F.when(F.col("kind") == WITHIN, F.array(whole, part)).otherwise(F.array(whole))))
 
 
 def templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``(host, subtree)`` of the templates, from ``subtrees``."""
-    once = found.select("host", "content", "subtree", "notice").distinct()
-    counts = once.groupBy("host", "subtree", "notice").agg(F.count(F.lit(1)).alias("n"))
-    often = stored(counts.where(F.col("n") >= F.when(F.col("notice"), max(min_pages, NOTICE_PAGES)).otherwise(min_pages)), "counts")
-    totals = found.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    notices = often.where("notice").join(stored(totals, "totals"), "host").where(F.col("n") >= NOTICE_SHARE * F.col("pages"))
-    return often.where("not notice").select("host", "subtree").unionByName(notices.select("host", "subtree"))
+    """``(scope, subtree)`` of the templates, from ``subtrees``; a scope is a host, or a host and a section."""
+    once = _scoped(found).select("scope", "content", "subtree", "kind").distinct()
+    counts = once.groupBy("scope", "subtree", "kind").agg(F.count(F.lit(1)).alias("n"))
+    least = F.when(F.col("kind") == NOTICE, max(min_pages, NOTICE_PAGES)).otherwise(min_pages)
+    often = stored(counts.where(F.col("n") >= least), "counts")
+    parts = found.select("host", F.concat_ws(" ", "host", "section").alias("part"), "content").distinct()
+    scopes = parts.select(F.explode(F.array("host", "part")).alias("scope"), "content").distinct()
+    totals = stored(scopes.groupBy("scope").agg(F.count(F.lit(1)).alias("pages")), "totals")
+    share = F.when(F.col("kind") == NOTICE, NOTICE_SHARE).otherwise(SHARE)
+    shared = often.where(F.col("kind") != BESIDE).join(totals, "scope").where(F.col("n") >= share * F.col("pages"))
+    return often.where(F.col("kind") == BESIDE).select("scope", "subtree").unionByName(shared.select("scope", "subtree"))
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``pages`` (page_id, url, html, ...) as ``(page_id, url, text)``."""
     html = F.coalesce("html", F.lit(""))
-    keyed = pages.select("page_id", "url", html.alias("html"), host(F.col("url")).alias("host")).withColumn(
-        "page", F.xxhash64("page_id", "url", "html")
-    )
+    named = {"host": host(F.col("url")), "section": section(F.col("url")), "page": F.xxhash64("page_id", "url", "html")}
+    keyed = pages.select("page_id", "url", html.alias("html")).withColumns(named)
     found = stored(subtrees(keyed.where("host != ''")), "subtrees")
     often = stored(templates(found, min_pages), "templates")
-    held = found.join(often, ["host", "subtree"]).groupBy("page").agg(F.collect_set("subtree").alias("templates"))
+    held = _scoped(found).join(often, ["scope", "subtree"]).groupBy("page").agg(F.collect_set("subtree").alias("templates"))
     held = stored(held, "held")
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -319,9 +347,8 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
             texts.append(main_text(root, frozenset(keys or ())))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    sized = held.select("page", F.array_join(F.transform("templates", lambda t: t.cast("string")), ",").alias("templates"))
-    listed = F.transform(F.split("templates", ","), lambda t: t.cast("bigint"))
-    rows = keyed.join(broadcast_if_small(sized), "page", "left").select("page_id", "url", "html", listed.alias("templates"))
+    # html is shuffled once, at any size; the templates of a page are the smaller side and are hashed
+    rows = keyed.join(held.hint("shuffle_hash"), "page", "left").select("page_id", "url", "html", "templates")
     return map_batches(rows, make, "page_id bigint, url string, text string")
 
 

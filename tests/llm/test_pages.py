@@ -89,6 +89,20 @@ def test_templates_of_sections_and_notices_go(spark):
         assert got[100 + i] == f"Text {i}."
 
 
+def test_lists_and_tables_of_few_articles_stay(spark):
+    table = "<table><tr><td>North</td><td>1</td></tr></table><ul><li>see also</li></ul>"
+    menu = lambda i: f"<div><ul><li>Part {i % 4}</li></ul></div>"
+    rows = []
+    for i in range(400):
+        extra = table if i % 100 == 7 else ""  # four pages of the host
+        rows.append((i, f"http://h.example/{i % 4}/{i}.html", f"<body><article>{menu(i)}<p>Text {i}.</p>{extra}</article></body>"))
+        rows.append((1000 + i, f"http://flat.example/{i % 4}/{i}.html", f"<body>{menu(i)}<p>Text {i}.</p>{extra}</body>"))
+    got = {r.page_id: r.text for r in p.report(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for i in range(400):
+        want = f"Text {i}.\nNorth\n1\nsee also" if i % 100 == 7 else f"Text {i}."
+        assert got[i] == want and got[1000 + i] == want
+
+
 def test_given_pages_against_brute_force(spark):
     rows = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r.text for r in p.report(rows).collect()}
