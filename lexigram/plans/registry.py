@@ -22,6 +22,7 @@ from lexigram.operators.stemming import stem_vocabulary, stemmed_counts
 from lexigram.operators.tasks import client_progress, convert, report_lines
 from lexigram.plans import next_word, similarity
 from lexigram.plans import stand_ins as given
+from lexigram.plans.layout import write_layout
 from lexigram.sources import dependency as dep
 from lexigram.sources import lists, ngrams, sinks
 from lexigram.sources.count_store import CountStore
@@ -244,6 +245,11 @@ def next_word_prob_guarded(spark, sf_dir):
     return _shown(next_word.probabilities(given.trigrams(spark, sf_dir), guarded=True))
 
 
+@query
+def next_word_prob_laid_out(spark, sf_dir):
+    return _shown(write_layout(given.trigrams(spark, sf_dir)).probabilities(spark))
+
+
 @query
 def next_word_ranked(spark, sf_dir):
     return _shown(next_word.ranked(given.trigrams(spark, sf_dir)))
