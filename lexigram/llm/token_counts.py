@@ -11,7 +11,8 @@ from every entry state to its exit state; a parallel prefix scan composes the ma
 token before that suffix, and the number of tokens before it. A token can end here only next to a token it wouldn't have
 merged with, which is decided on the merge ranks of the two; exactly one does. The transition is annotated with the change
 of the token count. States and transitions are compiled when text first needs them, and kept in sorted arrays for all
-further batches of the worker; beyond ``MAX_TRANSITIONS`` compilation starts anew. Words step together, byte by byte.
+further batches of the worker; beyond ``MAX_TRANSITIONS`` compilation starts anew. Words step together, byte by byte; long words
+are cut into pieces that step together too, and the pieces' maps are composed.
 
 Special tokens of the file inside a text count one each and split the text, as the library does by default. Null and empty texts
 have no bytes and no tokens.
@@ -33,6 +34,10 @@ from lexigram.llm.words import blocks, buffer, span_hashes
 MAX_TRANSITIONS = 1_000_000
 CHUNK = 256
 LIMIT = 1024
+#: Words of more bytes than ``LONG`` are cut into pieces; so many bytes before a piece are read to find its entry state.
+LONG, PIECE, WARM = 2048, 256, 64
+#: New transitions looked up one by one before they are sorted in.
+FRESH = 5_000
 
 # ---- splitter ----
 
@@ -262,7 +267,7 @@ class Merger:
             self.content.append(state)
         return self.states[state], ended[1]
 
-    def _settle(self) -> None:
+    def _merge(self) -> None:
         """Move new transitions to the sorted arrays."""
         if self.fresh:
             keys = np.fromiter(self.fresh, np.int64, len(self.fresh))
@@ -273,6 +278,10 @@ class Merger:
             self.target = np.concatenate([self.target, values[:, 0].astype(np.int32)])[order]
             self.change = np.concatenate([self.change, values[:, 1].astype(np.int16)])[order]
             self.fresh = {}
+
+    def _settle(self) -> None:
+        """End of a call: states are numbered anew once there are too many."""
+        self._merge()
         if len(self.keys) > MAX_TRANSITIONS:
             self.clear()
 
@@ -293,11 +302,11 @@ class Merger:
             target[missing], change[missing] = found[inverse, 0], found[inverse, 1]
         return target, change
 
-    def counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Tokens of each byte span."""
-        order = np.argsort(starts - ends, kind="stable")  # longest first: running words stay in front
-        first, left = starts[order], (ends - starts)[order]
-        state, total = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+    def _run(self, data: np.ndarray, first: np.ndarray, size: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exit state and change of the count of each byte span from its entry state."""
+        order = np.argsort(-size, kind="stable")  # longest first: running spans stay in front
+        first, left = first[order], size[order]
+        state, total = entry[order], np.zeros(len(order), np.int64)
         step, running = 0, int((left > 0).sum())
         while running:
             target, change = self._transitions(state[:running] << 8 | data[first[:running] + step])
@@ -305,9 +314,50 @@ class Merger:
             total[:running] += change
             step += 1
             running = int(np.searchsorted(-left, -step))
+            if len(self.fresh) > FRESH:
+                self._merge()
+        exits, totals = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        exits[order], totals[order] = state, total
+        return exits, totals
+
+    def _long(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Tokens of long words, by composing the maps of their pieces.
+
+        The last bytes before a piece nearly always settle the state in which it is entered, so all pieces run at once from the
+        states found that way. What a piece does from a state is an entry of its map; composing looks entries up by
+        the piece's bytes and the true state, and adds those that are missing.
+        """
+        cuts = [np.arange(s, e, PIECE) for s, e in zip(starts, ends)]
+        first = np.concatenate(cuts)
+        word = np.repeat(np.arange(len(cuts)), [len(c) for c in cuts])
+        size = np.minimum(first + PIECE, ends[word]) - first
+        before = np.minimum(first - starts[word], WARM)
+        entry, _ = self._run(data, first - before, before, np.zeros(len(first), np.int64))
+        exits, totals = self._run(data, first, size, entry)
+        content = [data[f : f + n].tobytes() for f, n in zip(first.tolist(), size.tolist())]
+        known = {(c, int(s)): (int(x), int(t)) for c, s, x, t in zip(content, entry, exits, totals)}
+        out, k = np.zeros(len(cuts), np.int64), 0
+        for w, pieces in enumerate(cuts):
+            state = 0
+            for _ in range(len(pieces)):
+                key = (content[k], state)
+                if key not in known:
+                    x, t = self._run(data, first[k : k + 1], size[k : k + 1], np.array([state]))
+                    known[key] = (int(x[0]), int(t[0]))
+                state, change = known[key]
+                out[w] += change
+                k += 1
+        return out
+
+    def counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Tokens of each byte span."""
+        out = np.empty(len(starts), np.int64)
+        long = ends - starts > LONG
+        short = ~long
+        out[short] = self._run(data, starts[short], (ends - starts)[short], np.zeros(int(short.sum()), np.int64))[1]
+        if long.any():
+            out[long] = self._long(data, starts[long], ends[long])
         self._settle()
-        out = np.empty(len(order), np.int64)
-        out[order] = total
         return out
 
 

@@ -46,6 +46,21 @@ def test_chunk_maps_compose(machine):
         assert maps[lane, state] == end
 
 
+def test_long_words_are_composed_of_pieces(machine, monkeypatch):
+    merger, classes, special, tokenizer = machine
+    rng = np.random.default_rng(2)
+    letters = lambda n, of: "".join(rng.choice(list(of), n))
+    texts = ["a" * 1_000_000, "ab" * 20_000 + "c", letters(200_000, "etaoinshrdlu"), letters(30_000, "日本語é😀"), "=" * 70_001, letters(5000, "ACGT")]
+    want = [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert t.count(pa.array(texts), merger, classes, special)[1].tolist() == want
+    monkeypatch.setattr(t, "WARM", 0)  # entry states are guessed wrong and composed right
+    monkeypatch.setattr(t, "PIECE", 7)
+    monkeypatch.setattr(t, "LONG", 10)
+    short = [x[:3000] for x in texts]
+    want = [len(e.ids) for e in tokenizer.encode_batch(short, add_special_tokens=False)]
+    assert t.count(pa.array(short), merger, classes, special)[1].tolist() == want
+
+
 def test_compilation_starts_anew_when_full(machine, monkeypatch):
     _, classes, special, tokenizer = machine
     small = t.Merger(vocabulary_text("byte_bpe_50k.json"))
