@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigram.llm.common import importable, likely_in, map_batches
+from lexigram.llm.common import importable, likely_in, map_batches, release
 from lexigram.llm.components import components
 from lexigram.llm.words import NOT_BLANK, STRETCH, Words, blocks, doc_runs, mix, runs
 from lexigram.session import stored
@@ -175,6 +175,7 @@ def _closest(members: DataFrame) -> DataFrame:
                 if len(at):
                     best = int(np.argmax(same))
                     out.append((int(own.docs[i]), int(own.docs[at[best]]), float(same[best])))
+        release()
         return pd.DataFrame(out, columns=["a", "b", "estimate"]).astype({"a": "int64", "b": "int64", "estimate": "float64"})
 
     found = members.groupBy("shard").applyInPandas(shard, "a bigint, b bigint, estimate double")
@@ -196,6 +197,7 @@ def _remaining(members: DataFrame) -> DataFrame:
                     found = [(None, None, *name)]
                     break
             out += found
+        release()
         return pd.DataFrame(out, columns=["a", "b", *BLOCK_KEY]).astype({"a": "Int64", "b": "Int64"})
 
     return members.groupBy("shard").applyInPandas(shard, "a bigint, b bigint, key bigint, part_a int, part_b int")
@@ -220,6 +222,8 @@ def _dense_links(members: DataFrame, sets: DataFrame) -> DataFrame:
             either = np.array([len(shingles[j]) for j in at]) + len(mine) - both
             linked = at[100 * both >= PERCENT * either]
             out += [(int(own.docs[i]), int(own.docs[j])) for j in linked]
+        del shingles
+        release()
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return members.join(sets, "doc").groupBy(*BLOCK_KEY).applyInPandas(block, "a bigint, b bigint").distinct()

@@ -112,8 +112,10 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", window: int = W
                     tokens += len(found) // 4 + 1
                 if tokens >= window:
                     out, used = _packed(names, ids, sequence)
-                    yield out
                     sequence, names, ids, tokens = sequence + used, [], [], 0
+                    yield out
+                    del out
+                    release()
         if names:
             yield _packed(names, ids, sequence)[0]
         del names, ids
