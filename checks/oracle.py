@@ -297,6 +297,7 @@ SELECTS = {
         round((ln(n + 1) + 1) / (ln(n + 1) + 2), 9) AS k3 FROM stats""",
     "next_word_prob": "SELECT * FROM prob",
     "next_word_prob_guarded": "SELECT * FROM prob",
+    "next_word_prob_laid_out": "SELECT * FROM prob",
     "next_word_ranked": f"SELECT w1, w2, w3, {_significant('p')} AS prob FROM raw ORDER BY w1, w2, p DESC, w3",
     "next_word_topk": f"""SELECT w1, w2, w3, {_significant('p')} AS prob, rank FROM (SELECT *,
         CAST(row_number() OVER (PARTITION BY w1, w2 ORDER BY p DESC, w3) AS INTEGER) AS rank FROM raw) WHERE rank <= 5""",
