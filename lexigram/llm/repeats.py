@@ -10,10 +10,11 @@ its original doesn't; texts are compared by SHA-256. Copies take no part in what
 equal) is its anchor. Consecutive windows with one anchor make a fragment, some 64 bytes. Equal windows have equal anchors,
 so all occurrences of a window lie in fragments of one anchor.
 
-*Which anchors count.* Documents are taken in packs of neighbouring ids. Each pack sends every anchor hash once, sorted and coded
-by differences, to the task of its hash range; anchors met twice come back to the packs that hold them. Only fragments with such
-anchors go on, each different one once per pack, with the smallest and largest id that holds it there. Documents without any
-are finished. A hash collision only sends a fragment on in vain.
+*Which fragments count.* A window holds ``BESIDE`` more bytes before its anchor or after it, and the hashes of the anchor with these
+are the fragment's codes. Documents are taken in packs of neighbouring ids. Each pack sends every code once, sorted and
+written as differences, to the task of its hash range; codes met twice come back to the packs that hold them. Only fragments
+with such codes go on, each different one once per pack, with the smallest and largest id that holds it there. Documents
+without any are finished. A hash collision only sends a fragment on in vain.
 
 *Shards.* Fragments meet in shards by anchor, equal ones are brought together, and anchors that have several different fragments are
 judged on the sorted suffixes of these (``induced``: external induced sorting, with common prefixes): neighbours with a
@@ -46,7 +47,9 @@ WINDOW = 50
 K = 24
 STRINGS = WINDOW - K + 1
 LONGEST = WINDOW + STRINGS - 1
-#: Neighbouring ids of one pack, anchors of one hash range and fragment bytes of one shard, about.
+#: A window holds at least so many bytes before its anchor, or after it.
+BESIDE = (WINDOW - K) // 2
+#: Neighbouring ids of one pack, codes of one hash range and fragment bytes of one shard, about.
 PACK = 512
 RANGE = 1_000_000
 SHARD = 8 * 2**20
@@ -68,65 +71,67 @@ def _powers(factor: np.uint64, n: int) -> np.ndarray:
 _POWER, _BACK = _powers(_FACTOR, STRETCH + 1), _powers(_INVERSE, STRETCH + 1)
 
 
-def _hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the ``size`` bytes from every place of a stretch on."""
+def _runs(data: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """``(first window, anchor hash, left, right)`` of each run of windows with one anchor, among the first ``n`` windows of a
+    stretch. ``left`` and ``right`` are the hashes of the anchor with ``BESIDE`` bytes more before and after it, -1 if no window
+    of the run holds those."""
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWER[: len(data)], out=sums[1:])
-    return mix((sums[size:] - sums[:-size]) * _BACK[: len(data) - size + 1])
-
-
-def _runs(data: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(first window, anchor hash)`` of each run of windows with one anchor, among the first ``n`` windows of a stretch."""
-    hashes = _hashes(data, K) >> np.uint64(64 - BITS)
+    hashes = mix((sums[K:] - sums[:-K]) * _BACK[: len(data) - K + 1]) >> np.uint64(64 - BITS)
     key = (hashes << np.uint64(64 - BITS)) | np.arange(len(hashes), dtype=np.uint64)
     least, width = key, 1
     while 2 * width <= STRINGS:
         least, width = np.minimum(least[:-width], least[width:]), 2 * width
     anchor = np.minimum(least[: len(key) - STRINGS + 1], least[STRINGS - width :])[:n]
     first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-    return first, (anchor[first] >> np.uint64(64 - BITS)).view(np.int64)
+    place = (anchor[first] & np.uint64(STRETCH - 1)).astype(np.int64)
+    last = np.append(first[1:], n) - 1
+
+    def wider(begin: np.ndarray, held: np.ndarray, seed: int) -> np.ndarray:
+        begin = np.where(held, begin, 0)
+        code = mix(mix((sums[begin + K + BESIDE] - sums[begin]) * _BACK[begin]) ^ np.uint64(seed)) >> np.uint64(64 - BITS)
+        return np.where(held, code.view(np.int64), -1)
+
+    left, right = wider(place - BESIDE, place - first >= BESIDE, 1), wider(place, place - last <= BESIDE, 2)
+    return first, (anchor[first] >> np.uint64(64 - BITS)).view(np.int64), left, right
 
 
 class Fragments:
-    """The fragments of a run of texts: ``begin``, ``size`` (bytes in ``data``), ``anchor`` and ``doc``, in order."""
+    """The fragments of a run of texts in order: ``begin``, ``size`` (bytes in ``data``), ``anchor``, ``left``, ``right``, ``doc``."""
 
     def __init__(self, texts: pa.Array):
         self.data, self.offsets = buffer(texts)
-        begins, sizes, anchors = [_EMPTY], [_EMPTY], [_EMPTY]
+        rows = [np.zeros((5, 0), np.int64)]
         at, end = 0, len(self.data)
-        step = STRETCH - LONGEST
         while at + WINDOW <= end:
-            n = min(step, end - WINDOW + 1 - at)
-            first, anchor = _runs(self.data[at : at + n + WINDOW - 1], n)
-            begins.append(first + at)
-            sizes.append(np.diff(np.append(first, n)))
-            anchors.append(anchor)
+            n = min(STRETCH - LONGEST, end - WINDOW + 1 - at)
+            first, *codes = _runs(self.data[at : at + n + WINDOW - 1], n)
+            rows.append(np.stack([first + at, np.append(first[1:], n) + at, *codes]))
             at += n
-        begin, count, anchor = (np.concatenate(x) for x in (begins, sizes, anchors))
-        # windows that cross the end of a text are none: runs are cut at the texts' ends and what crosses goes
-        last = begin + count
-        doc = np.searchsorted(self.offsets, begin, "right") - 1
-        until = self.offsets[doc + 1] if len(doc) else begin
-        crossing = np.flatnonzero(last > until)  # the rest of such a run lies in later texts
-        more = [(b, c, a, d) for b, c, a, d in self._later(begin[crossing], last[crossing], anchor[crossing], doc[crossing])]
-        if more:
-            b, c, a, d = (np.concatenate(x) for x in zip(*more))
-            begin, last, anchor, doc = (np.concatenate(x) for x in ((begin, b), (last, c), (anchor, a), (doc, d)))
-            order = np.argsort(begin, kind="stable")
-            begin, last, anchor, doc = begin[order], last[order], anchor[order], doc[order]
-        last = np.minimum(last, self.offsets[doc + 1] - WINDOW + 1) if len(doc) else last
-        good = last > begin
-        self.begin, self.anchor, self.doc = begin[good], anchor[good], doc[good]
-        self.size = (last - begin)[good] + WINDOW - 1
-
-    def _later(self, begin, last, anchor, doc):
-        while len(begin):
+        rows = np.concatenate(rows, axis=1)  # begin, end (of the windows), anchor, left, right
+        # windows that cross the end of a text are none: runs are cut at the ends of texts, and what crosses goes
+        doc = np.searchsorted(self.offsets, rows[0], "right") - 1
+        parts, docs = [rows], [doc]
+        while rows.shape[1]:
             doc = doc + 1
-            begin = np.maximum(begin, self.offsets[np.minimum(doc, len(self.offsets) - 1)])
-            on = (begin < last) & (doc < len(self.offsets) - 1)
-            begin, last, anchor, doc = begin[on], last[on], anchor[on], doc[on]
-            if len(begin):
-                yield begin, last, anchor, doc
+            inside = doc < len(self.offsets) - 1
+            rows, doc = rows[:, inside], doc[inside]
+            rows = np.concatenate([np.maximum(rows[:1], self.offsets[doc]), rows[1:]])
+            on = rows[0] < rows[1]
+            rows, doc = rows[:, on], doc[on]
+            parts.append(rows)
+            docs.append(doc)
+        rows, doc = np.concatenate(parts, axis=1), np.concatenate(docs)
+        last = np.minimum(rows[1], self.offsets[np.minimum(doc + 1, len(self.offsets) - 1)] - WINDOW + 1)
+        good = np.flatnonzero(last > rows[0])
+        good = good[np.argsort(rows[0, good], kind="stable")]
+        self.begin, _, self.anchor, self.left, self.right = rows[:, good]
+        self.doc, self.size = doc[good], (last - rows[0])[good] + WINDOW - 1
+
+    def codes(self) -> tuple[np.ndarray, np.ndarray]:
+        """``(code, doc)``: both codes of all fragments that have them."""
+        code, doc = np.concatenate([self.left, self.right]), np.concatenate([self.doc, self.doc])
+        return code[code >= 0], doc[code >= 0]
 
     def padded(self, at: np.ndarray) -> np.ndarray:
         """Bytes of the fragments ``at`` as rows, zeros behind."""
@@ -165,17 +170,18 @@ def _decoded(code: bytes) -> np.ndarray:
 
 
 def _anchors(docs: DataFrame, ranges: int) -> DataFrame:
-    """``(part, pack, several, codes)``: the anchors of packs by hash range, those of several documents apart."""
+    """``(part, pack, several, codes)``: the codes of packs by hash range, those of several documents apart."""
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         packs = batch.column(0).to_numpy()
         rows = []
         for begin, end in blocks(batch.column(1)):
             found = Fragments(batch.column(1).slice(begin, end - begin))
-            pack = packs[begin:end][found.doc]
+            code, owner = found.codes()
+            pack = packs[begin:end][owner]
             for p in np.unique(pack):
                 mine = pack == p
-                anchor, doc = found.anchor[mine], found.doc[mine]
+                anchor, doc = code[mine], owner[mine]
                 order = np.argsort(anchor, kind="stable")
                 anchor, doc = anchor[order], doc[order]
                 first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
@@ -194,7 +200,7 @@ def _anchors(docs: DataFrame, ranges: int) -> DataFrame:
 
 
 def _shared(anchors: DataFrame) -> DataFrame:
-    """``(pack, codes)``: the anchors of each pack that occur elsewhere too."""
+    """``(pack, codes)``: the codes of each pack that occur elsewhere too."""
 
     def meet(rows: pa.Table) -> pa.Table:
         values = [_decoded(c) for c in rows["codes"].to_pylist()]
@@ -266,7 +272,7 @@ def _cut(docs: DataFrame, shared: DataFrame) -> DataFrame:
         out, parts, number = [], [], left["pack"][0].as_py()
         for begin, end in blocks(texts):
             own, found = texts.slice(begin, end - begin), Fragments(texts.slice(begin, end - begin))
-            at = np.flatnonzero(np.isin(found.anchor, wanted))
+            at = np.flatnonzero(np.isin(found.left, wanted) | np.isin(found.right, wanted))
             parts.append((begin, found.padded(at), found.size[at], found.anchor[at], found.doc[at] + begin, found.begin[at] - found.offsets[found.doc[at]]))
         rows, size, anchor, doc, place = (np.concatenate([p[k] for p in parts]) for k in range(1, 6))
         same = _alike(rows, size)
@@ -416,7 +422,7 @@ def report(docs: DataFrame) -> DataFrame:
     known = named.where(~perhaps).unionByName(rest).withColumn("pack", F.floor(F.col("doc_id") / PACK).cast("bigint"))
 
     total = named.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first()["n"] or 0
-    shared = stored(_shared(_anchors(known, max(1, 2 * total // (STRINGS + 1) // RANGE))), "anchors")
+    shared = stored(_shared(_anchors(known, max(1, 4 * total // (STRINGS + 1) // RANGE))), "anchors")
     fragments = shared.agg(F.sum(F.octet_length("codes").cast("bigint") / 8).alias("n")).first()["n"] or 0
     shards = max(1, int(fragments * (WINDOW + STRINGS // 2)) // SHARD)
     parts = stored(_decided(_cut(known, shared), shards), "decided")
