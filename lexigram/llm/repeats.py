@@ -231,18 +231,21 @@ def _digest(data: np.ndarray) -> str:
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-_RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+_RESULT = pa.schema(
+    [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
+)
 #: Results so far, texts that await decisions, and one of fragments or decisions.
 OPEN = f"{RESULT}, pack bigint, text string, place binary, idx binary"
 _OPEN = [*_RESULT, ("pack", pa.int64()), ("text", pa.string()), ("place", pa.binary()), ("idx", pa.binary())]
 CUT = f"{OPEN}, fragment int, anchor bigint, bytes binary, low bigint, high bigint"
-_CUT = pa.schema([*_OPEN, ("fragment", pa.int32()), ("anchor", pa.int64()), ("bytes", pa.binary()), ("low", pa.int64()), ("high", pa.int64())])
+_CUT = pa.schema(
+    [*_OPEN, ("fragment", pa.int32()), ("anchor", pa.int64()), ("bytes", pa.binary()), ("low", pa.int64()), ("high", pa.int64())]
+)
 JUDGED = f"{OPEN}, fragment int, first int, last int, owner bigint"
 _JUDGED = pa.schema([*_OPEN, ("fragment", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("owner", pa.int64())])
 
 
-_OPEN_NAMES = [name for name, *_ in _OPEN[len(_RESULT) :]]
-_OPEN_NAMES = [*_RESULT.names, *_OPEN_NAMES]
+_OPEN_NAMES = pa.schema(_OPEN).names
 
 
 def _rows(schema: pa.Schema, **columns) -> pa.Table:
@@ -273,7 +276,9 @@ def _cut(docs: DataFrame, shared: DataFrame) -> DataFrame:
         for begin, end in blocks(texts):
             own, found = texts.slice(begin, end - begin), Fragments(texts.slice(begin, end - begin))
             at = np.flatnonzero(np.isin(found.left, wanted) | np.isin(found.right, wanted))
-            parts.append((begin, found.padded(at), found.size[at], found.anchor[at], found.doc[at] + begin, found.begin[at] - found.offsets[found.doc[at]]))
+            doc = found.doc[at]
+            place = found.begin[at] - found.offsets[doc]
+            parts.append((begin, found.padded(at), found.size[at], found.anchor[at], doc + begin, place))
         rows, size, anchor, doc, place = (np.concatenate([p[k] for p in parts]) for k in range(1, 6))
         same = _alike(rows, size)
         firsts, idx = np.unique(same, return_inverse=True)
@@ -403,7 +408,8 @@ def _removed(open_: DataFrame, decisions: DataFrame) -> DataFrame:
 
 def _copies(known: DataFrame) -> DataFrame:
     """``(doc_id, n_bytes, digest)`` of documents whose whole text a document with a smaller id has."""
-    marks = stored(known.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("digest")), "digests")
+    n_bytes = F.octet_length("text").cast("bigint").alias("n_bytes")
+    marks = stored(known.select("doc_id", n_bytes, F.sha2("text", 256).alias("digest")), "digests")
     first = marks.groupBy("digest").agg(F.min("doc_id").alias("first"))
     met = marks.join(first.select(F.concat("digest", F.lit("")).alias("digest"), "first"), "digest")  # its own shuffle: hot texts are split
     return stored(met.where("doc_id > first").select("doc_id", "n_bytes", "digest"), "copies")
