@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,9 +56,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        master = spark.sparkContext.master
-        on_cluster = not master.startswith("local") or master.startswith("local-cluster")
-        if on_cluster and warehouse.startswith(("file:", "/")):
+        if warehouse.startswith("file:") and not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"{warehouse}/scratch"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
