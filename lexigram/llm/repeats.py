@@ -13,14 +13,18 @@ so all occurrences of a window lie in fragments of one anchor.
 *Which fragments count.* A window holds ``BESIDE`` more bytes before its anchor or after it, and the hashes of the anchor with these
 are the fragment's codes. Documents are taken in packs of neighbouring ids. Each pack sends every code once, sorted and
 written as differences, to the task of its hash range; codes met twice come back to the packs that hold them. Only fragments
-with such codes go on, each different one once per pack, with the smallest and largest id that holds it there. Documents
-without any are finished. A hash collision only sends a fragment on in vain.
+with such codes go on, each different one once per pack, with the smallest and largest id that holds it there. A hash collision
+only sends a fragment on in vain.
 
 *Shards.* Fragments meet in shards by anchor, equal ones are brought together, and anchors that have several different fragments are
 judged on the sorted suffixes of these (``induced``: external induced sorting, with common prefixes): neighbours with a
 common prefix of ``WINDOW`` bytes or more begin with one window, whose smallest id decides. Shards have a stated size; one
 anchor is never split over shards, so a shard may be much larger where an anchor has very many different fragments: sorting then
-works from files. Decisions go back to the packs, where the bytes are removed.
+works from files. Decisions, runs of windows with the smallest id that holds them, are stored and go to the packs, where the
+bytes are removed.
+
+*What travels.* Texts, fragments and decisions are shuffled as compressed blocks of many rows. Texts are shuffled twice, to find
+fragments and to remove bytes, and never written: packs number their fragments alike both times, whatever the order of rows.
 
 Equality of passages is always decided on bytes, hashes only choose candidates. A null text is empty. Rows with a null doc_id neither lose
 anything nor make others lose; rows that repeat an id are one document, which doesn't remove its own passages. An empty table
@@ -99,8 +103,8 @@ def _runs(data: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
 class Fragments:
     """The fragments of a run of texts in order: ``begin``, ``size`` (bytes in ``data``), ``anchor``, ``left``, ``right``, ``doc``."""
 
-    def __init__(self, texts: pa.Array):
-        self.data, self.offsets = buffer(texts)
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.data, self.offsets = data, offsets
         rows = [np.zeros((5, 0), np.int64)]
         at, end = 0, len(self.data)
         while at + WINDOW <= end:
@@ -169,6 +173,44 @@ def _decoded(code: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
 
 
+#: A compressed block: number columns of ``n`` rows, then their bytes.
+BLOCK = "n int, raw bigint, block binary"
+_BLOCK = [("n", pa.int32()), ("raw", pa.int64()), ("block", pa.binary())]
+
+
+def _squeezed(numbers: list[np.ndarray], data: bytes = b"") -> tuple[int, int, bytes]:
+    plain = b"".join([*(_coded(v) for v in numbers), data])
+    return len(numbers[0]), len(plain), pa.compress(plain, codec="zstd", asbytes=True)
+
+
+def _opened(rows: pa.Table, columns: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Number columns and bytes of each block."""
+    for n, raw, block in zip(*(rows[c] for c, _ in _BLOCK)):
+        n = n.as_py()
+        plain = pa.decompress(block.as_py(), decompressed_size=raw.as_py(), codec="zstd", asbytes=True)
+        yield [_decoded(plain[8 * n * k : 8 * n * (k + 1)]) for k in range(columns)], np.frombuffer(plain, np.uint8)[8 * n * columns :]
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """``(pack, n, raw, block)``: ids and texts of neighbouring rows of a pack in one block."""
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for begin, end in blocks(batch.column(2)):
+            pack, ids = (batch.column(k).slice(begin, end - begin).to_numpy() for k in (0, 1))
+            data, offsets = buffer(batch.column(2).slice(begin, end - begin))
+            order = np.argsort(pack, kind="stable")
+            edges = np.flatnonzero(np.append(True, pack[order][1:] != pack[order][:-1]))
+            for b, e in zip(edges, [*edges[1:], len(order)]):
+                own = order[b:e]
+                texts = b"".join(data[offsets[i] : offsets[i + 1]].tobytes() for i in own)
+                out.append((int(pack[own[0]]), *_squeezed([ids[own], np.diff(offsets)[own]], texts)))
+        schema = pa.schema([("pack", pa.int64()), *_BLOCK])
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    return map_batches(docs.select("pack", "doc_id", "text"), make, f"pack bigint, {BLOCK}")
+
+
 def _anchors(docs: DataFrame, ranges: int) -> DataFrame:
     """``(part, pack, several, codes)``: the codes of packs by hash range, those of several documents apart."""
 
@@ -176,7 +218,7 @@ def _anchors(docs: DataFrame, ranges: int) -> DataFrame:
         packs = batch.column(0).to_numpy()
         rows = []
         for begin, end in blocks(batch.column(1)):
-            found = Fragments(batch.column(1).slice(begin, end - begin))
+            found = Fragments(*buffer(batch.column(1).slice(begin, end - begin)))
             code, owner = found.codes()
             pack = packs[begin:end][owner]
             for p in np.unique(pack):
@@ -234,75 +276,73 @@ RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_
 _RESULT = pa.schema(
     [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
 )
-#: Results so far, texts that await decisions, and one of fragments or decisions.
-OPEN = f"{RESULT}, pack bigint, text string, place binary, idx binary"
-_OPEN = [*_RESULT, ("pack", pa.int64()), ("text", pa.string()), ("place", pa.binary()), ("idx", pa.binary())]
-CUT = f"{OPEN}, fragment int, anchor bigint, bytes binary, low bigint, high bigint"
-_CUT = pa.schema(
-    [*_OPEN, ("fragment", pa.int32()), ("anchor", pa.int64()), ("bytes", pa.binary()), ("low", pa.int64()), ("high", pa.int64())]
-)
-JUDGED = f"{OPEN}, fragment int, first int, last int, owner bigint"
-_JUDGED = pa.schema([*_OPEN, ("fragment", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("owner", pa.int64())])
-
 
-_OPEN_NAMES = pa.schema(_OPEN).names
 
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = list(zip(*rows)) or [[] for _ in schema]
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-def _rows(schema: pa.Schema, **columns) -> pa.Table:
-    """Rows with the given columns; the others are null."""
-    n = len(next(iter(columns.values())))
-    return pa.table([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
-
-def _whole(ids, texts: pa.Array, schema: pa.Schema = _RESULT) -> pa.Table:
+def _whole(ids, texts: pa.Array) -> pa.Table:
     """Results of documents that keep everything."""
     data, offsets = buffer(texts)
     digests = [_digest(data[b:e]) for b, e in zip(offsets, offsets[1:])]
     zeros = np.zeros(len(texts), np.int64)
-    return _rows(schema, doc_id=ids, n_bytes=np.diff(offsets), n_removed=zeros, n_spans=zeros, kept_sha256=digests)
-
-
-def _cut(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """Three kinds of rows: results of documents without shared anchors; other documents (text) with their fragments' places and
-    numbers in the pack; fragments (bytes), each different one of a pack once."""
-
-    def pack(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return _CUT.empty_table()
-        ids, texts = left["doc_id"].combine_chunks(), left["text"].combine_chunks()
-        codes = [_decoded(c) for c in right["codes"].to_pylist()]
-        wanted = np.sort(np.concatenate(codes)) if codes else _EMPTY
-        out, parts, number = [], [], left["pack"][0].as_py()
-        for begin, end in blocks(texts):
-            own, found = texts.slice(begin, end - begin), Fragments(texts.slice(begin, end - begin))
-            at = np.flatnonzero(np.isin(found.left, wanted) | np.isin(found.right, wanted))
-            doc = found.doc[at]
-            place = found.begin[at] - found.offsets[doc]
-            parts.append((begin, found.padded(at), found.size[at], found.anchor[at], doc + begin, place))
-        rows, size, anchor, doc, place = (np.concatenate([p[k] for p in parts]) for k in range(1, 6))
-        same = _alike(rows, size)
-        firsts, idx = np.unique(same, return_inverse=True)
-        numbers = ids.to_numpy()[doc]
-        low, high = np.full(len(firsts), 2**63 - 1), np.full(len(firsts), -(2**63))
-        np.minimum.at(low, idx, numbers)
-        np.maximum.at(high, idx, numbers)
-        edges = np.searchsorted(doc, np.arange(len(ids) + 1))
-        open_ = np.flatnonzero(np.diff(edges))
-        closed = np.flatnonzero(np.diff(edges) == 0)
-        out.append(_whole(ids.take(pa.array(closed)), texts.take(pa.array(closed)), _CUT))
-        span = [(edges[d], edges[d + 1]) for d in open_]
-        out.append(_rows(
-            _CUT, pack=[number] * len(open_), doc_id=ids.take(pa.array(open_)), text=texts.take(pa.array(open_)),
-            place=[place[b:e].astype(np.int64).tobytes() for b, e in span], idx=[idx[b:e].astype(np.int32).tobytes() for b, e in span],
-        ))
-        out.append(_rows(
-            _CUT, pack=[number] * len(firsts), fragment=np.arange(len(firsts), dtype=np.int32), anchor=anchor[firsts],
-            bytes=[rows[f, : size[f]].tobytes() for f in firsts], low=low, high=high,
-        ))
+    return pa.table([ids, np.diff(offsets), zeros, zeros, digests], schema=_RESULT)
+
+
+class Pack:
+    """Documents of a pack in order of id and text, and their fragments with a wanted code: ``doc``, ``place`` (in the document),
+    and ``idx``, the number of the fragment among the different ones (``rows``, ``size``, ``anchor``)."""
+
+    def __init__(self, texts: pa.Table, codes: list[bytes]):
+        found = [(ids, sizes, data) for (ids, sizes), data in _opened(texts, 2)]
+        ids, sizes = (np.concatenate([f[k] for f in found]) for k in range(2))
+        data = np.concatenate([f[2] for f in found])
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        parts = [data[b:e] for b, e in zip(offsets, offsets[1:])]
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], _digest(parts[i])))
+        self.ids, self.data = ids[order], np.concatenate([parts[i] for i in order])
+        self.offsets = np.concatenate([[0], np.cumsum(sizes[order])])
+        wanted = np.unique(np.concatenate([_decoded(c) for c in codes])) if codes else _EMPTY
+        kinds, first = [], 0
+        while first < len(ids):
+            last = max(first + 1, int(np.searchsorted(self.offsets, self.offsets[first] + 2 * STRETCH, "right")) - 1)
+            begin = self.offsets[first]
+            own = Fragments(self.data[begin : self.offsets[last]], self.offsets[first : last + 1] - begin)
+            at = np.flatnonzero(np.isin(own.left, wanted) | np.isin(own.right, wanted))
+            kinds.append((own.padded(at), own.size[at], own.anchor[at], own.doc[at] + first, own.begin[at] - own.offsets[own.doc[at]]))
+            first = last
+        rows, size, anchor, self.doc, self.place = (np.concatenate([k[c] for k in kinds]) for c in range(5))
+        firsts, self.idx = np.unique(_alike(rows, size), return_inverse=True)
+        self.rows, self.size, self.anchor = rows[firsts], size[firsts], anchor[firsts]
+
+
+def _cut(docs: DataFrame, shared: DataFrame, shards: int) -> DataFrame:
+    """``(shard, pack, n, raw, block)``: the fragments of packs by shard, each different one of a pack once, with number, anchor,
+    size, smallest id and how far the largest one is from it."""
+    schema = pa.schema([("shard", pa.int64()), ("pack", pa.int64()), *_BLOCK])
+
+    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        pack = Pack(left, right["codes"].to_pylist())
+        low, high = np.full(len(pack.size), 2**63 - 1), np.full(len(pack.size), -(2**63))
+        np.minimum.at(low, pack.idx, pack.ids[pack.doc])
+        np.maximum.at(high, pack.idx, pack.ids[pack.doc])
+        shard = pack.anchor % shards
+        order = np.argsort(shard, kind="stable")
+        edges = np.flatnonzero(np.append(True, shard[order][1:] != shard[order][:-1])) if len(order) else _EMPTY
+        number, out = left["pack"][0].as_py(), []
+        for b, e in zip(edges, [*edges[1:], len(order)]):
+            own = order[b:e]
+            data = pack.rows[own][np.arange(LONGEST) < pack.size[own][:, None]].tobytes()
+            block = _squeezed([own, pack.anchor[own], pack.size[own], low[own], high[own] - low[own]], data)
+            out.append((int(shard[own[0]]), number, *block))
         release()
-        return pa.concat_tables(out)
+        return _table(out, schema)
 
-    return docs.groupBy("pack").cogroup(shared.groupBy("pack")).applyInArrow(pack, CUT)
+    return docs.groupBy("pack").cogroup(shared.groupBy("pack")).applyInArrow(cut, f"shard bigint, pack bigint, {BLOCK}")
 
 
 def judged(rows: np.ndarray, size: np.ndarray, anchor: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -345,65 +385,73 @@ def judged(rows: np.ndarray, size: np.ndarray, anchor: np.ndarray, low: np.ndarr
     return first, owner
 
 
-def _decided(parts: DataFrame, shards: int) -> DataFrame:
-    """Results and open texts as they are; for the fragments runs of windows and the smallest id that holds them, where some
-    document of the pack has a larger one."""
+def _decided(fragments: DataFrame) -> DataFrame:
+    """``(pack, n, raw, block)``: runs of windows (number of the fragment, first and last window) and the smallest id that holds
+    them, where some document of the pack has a larger one."""
+    schema = pa.schema([("pack", pa.int64()), *_BLOCK])
 
     def shard(table: pa.Table) -> pa.Table:
-        is_fragment = table["anchor"].is_valid()
-        others = table.filter(pc.invert(is_fragment)).select(_OPEN_NAMES)
-        others = pa.table([*others.columns, *[pa.nulls(len(others), f.type) for f in _JUDGED][len(_OPEN_NAMES) :]], schema=_JUDGED)
-        table = table.filter(is_fragment)
-        if not len(table):
-            return others
-        column = table["bytes"].combine_chunks()
-        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-        data, size = np.frombuffer(column.buffers()[2], np.uint8), np.diff(offsets)
-        rows = data[np.minimum(offsets[:-1, None] + np.arange(LONGEST), len(data) - 1)]
+        found = list(_opened(table, 5))
+        number, anchor, size, low, more = (np.concatenate([f[0][k] for f in found]) for k in range(5))
+        data = np.concatenate([f[1] for f in found])
+        owner_pack = np.repeat(np.arange(len(found)), [len(f[0][0]) for f in found])
+        del found
+        begin = np.cumsum(size) - size
+        rows = data[np.minimum(begin[:, None] + np.arange(LONGEST), len(data) - 1)]
         rows[np.arange(LONGEST) >= size[:, None]] = 0
-        low, high, anchor, packs, number = (table[c].to_numpy() for c in ("low", "high", "anchor", "pack", "fragment"))
         first, owner = judged(rows, size, anchor, low)
         of = np.repeat(np.arange(len(size)), np.diff(first))
         edge = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (of[1:] != of[:-1])))
         last = np.append(edge[1:], len(owner)) - 1
-        keep = owner[edge] < high[of[edge]]
+        keep = owner[edge] < (low + more)[of[edge]]
         edge, last = edge[keep], last[keep]
         of = of[edge]
-        found = _rows(
-            _JUDGED, pack=packs[of], fragment=number[of].astype(np.int32), first=(edge - first[of]).astype(np.int32),
-            last=(last - first[of]).astype(np.int32), owner=owner[edge],
-        )
+        # fragments lie pack by pack
+        ends = np.searchsorted(owner_pack[of], np.arange(table.num_rows + 1))
+        packs, out = table["pack"].to_pylist(), []
+        for p, b, e in zip(packs, ends, ends[1:]):
+            if b < e:
+                o = of[b:e]
+                out.append((p, *_squeezed([number[o], edge[b:e] - first[o], last[b:e] - first[o], owner[edge[b:e]]])))
         release()
-        return pa.concat_tables([others, found])
+        return _table(out, schema)
 
-    dealt = parts.withColumn("shard", F.pmod(F.coalesce("anchor", F.xxhash64("doc_id")), F.lit(shards)))
-    return dealt.groupBy("shard").applyInArrow(lambda table: shard(table.drop_columns("shard")), JUDGED)
+    return fragments.groupBy("shard").applyInArrow(shard, f"pack bigint, {BLOCK}")
 
 
-def _removed(open_: DataFrame, decisions: DataFrame) -> DataFrame:
+def _removed(docs: DataFrame, shared: DataFrame, decisions: DataFrame) -> DataFrame:
+    """The results of all documents of the packs."""
+
     def pack(left: pa.Table, right: pa.Table) -> pa.Table:
-        idx, first, last, owner = (right[c].to_numpy() for c in ("fragment", "first", "last", "owner"))
-        order = np.argsort(idx, kind="stable")
-        idx, first, last, owner = idx[order], first[order], last[order], owner[order]
+        if not left.num_rows:
+            return _RESULT.empty_table()
+        decided = right["n"].is_valid()
+        found = [columns for columns, _ in _opened(right.filter(decided), 4)]
+        number, first, last, owner = (np.concatenate([f[k] for f in found]) if found else _EMPTY for k in range(4))
+        order = np.argsort(number, kind="stable")
+        number, first, last, owner = number[order], first[order], last[order], owner[order]
+        # without decisions no fragments are looked for
+        own = Pack(left, right.filter(pc.invert(decided))["codes"].to_pylist() if found else [])
+        edges = np.searchsorted(own.doc, np.arange(len(own.ids) + 1))
         out = []
-        for row in range(left.num_rows):
-            doc_id, text = left["doc_id"][row].as_py(), left["text"][row].as_py() or ""
-            data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-            place, own = np.frombuffer(left["place"][row].as_py(), np.int64), np.frombuffer(left["idx"][row].as_py(), np.int32)
-            begin, end = np.searchsorted(idx, own), np.searchsorted(idx, own, "right")
+        for d, doc_id in enumerate(own.ids.tolist()):
+            data = own.data[own.offsets[d] : own.offsets[d + 1]]
+            place, idx = own.place[edges[d] : edges[d + 1]], own.idx[edges[d] : edges[d + 1]]
+            begin, end = np.searchsorted(number, idx), np.searchsorted(number, idx, "right")
             n = end - begin
             at = np.repeat(begin, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            place = np.repeat(place, n)[owner[at] < doc_id]
-            at = at[owner[at] < doc_id]
-            depth = np.zeros(len(data) + 1, np.int64)
+            place, at = np.repeat(place, n)[owner[at] < doc_id], at[owner[at] < doc_id]
+            depth = np.zeros(len(data) + 1, np.int32)
             np.add.at(depth, place + first[at], 1)
             np.add.at(depth, place + last[at] + WINDOW, -1)
             gone = np.cumsum(depth)[:-1] > 0
             spans = int(np.count_nonzero(gone & ~np.append(False, gone[:-1])))
             out.append((doc_id, len(data), int(gone.sum()), spans, _digest(data[~gone])))
-        return _rows(_RESULT, **{f.name: [r[k] for r in out] for k, f in enumerate(_RESULT)})
+        release()
+        return _table(out, _RESULT)
 
-    return open_.groupBy("pack").cogroup(decisions.groupBy("pack")).applyInArrow(pack, RESULT)
+    sides = shared.unionByName(decisions, allowMissingColumns=True)
+    return docs.groupBy("pack").cogroup(sides.groupBy("pack")).applyInArrow(pack, RESULT)
 
 
 def _copies(known: DataFrame) -> DataFrame:
@@ -431,10 +479,8 @@ def report(docs: DataFrame) -> DataFrame:
     shared = stored(_shared(_anchors(known, max(1, 4 * total // (STRINGS + 1) // RANGE))), "anchors")
     fragments = shared.agg(F.sum(F.octet_length("codes").cast("bigint") / 8).alias("n")).first()["n"] or 0
     shards = max(1, int(fragments * (WINDOW + STRINGS // 2)) // SHARD)
-    parts = stored(_decided(_cut(known, shared), shards), "decided")
-    open_ = parts.where("text is not null").select("pack", "doc_id", "text", "place", "idx")
-    removed = _removed(open_, parts.where("owner is not null").select("pack", "fragment", "first", "last", "owner"))
-    finished = parts.where("kept_sha256 is not null").select(*_RESULT.names)
+    packed = _packed(known)
+    removed = _removed(packed, shared, stored(_decided(_cut(packed, shared, shards)), "decided"))
 
     whole = F.col("n_bytes") >= WINDOW
     again = copies.select(
@@ -447,4 +493,4 @@ def report(docs: DataFrame) -> DataFrame:
             yield from _whole(batch.column(0), batch.column(1)).to_batches()
 
     nameless = rows.where("doc_id is null").mapInArrow(keep, RESULT)
-    return finished.unionByName(removed).unionByName(again).unionByName(nameless)
+    return removed.unionByName(again).unionByName(nameless)
