@@ -291,6 +291,12 @@ def _whole(ids, texts: pa.Array) -> pa.Table:
     return pa.table([ids, np.diff(offsets), zeros, zeros, digests], schema=_RESULT)
 
 
+def _held(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which values are among the ascending ``wanted``."""
+    at = np.searchsorted(wanted, values)
+    return np.append(wanted, -1)[at] == np.where(values < 0, -2, values)
+
+
 class Pack:
     """Documents of a pack in order of id and text, and their fragments with a wanted code: ``doc``, ``place`` (in the document),
     and ``idx``, the number of the fragment among the different ones (``rows``, ``size``, ``anchor``)."""
@@ -310,7 +316,7 @@ class Pack:
             last = max(first + 1, int(np.searchsorted(self.offsets, self.offsets[first] + 2 * STRETCH, "right")) - 1)
             begin = self.offsets[first]
             own = Fragments(self.data[begin : self.offsets[last]], self.offsets[first : last + 1] - begin)
-            at = np.flatnonzero(np.isin(own.left, wanted) | np.isin(own.right, wanted))
+            at = np.flatnonzero(_held(own.left, wanted) | _held(own.right, wanted))
             kinds.append((own.padded(at), own.size[at], own.anchor[at], own.doc[at] + first, own.begin[at] - own.offsets[own.doc[at]]))
             first = last
         rows, size, anchor, self.doc, self.place = (np.concatenate([k[c] for k in kinds]) for c in range(5))
