@@ -66,3 +66,25 @@ def test_empty_tables(spark, docs):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     assert d.report(docs((1, "a")).limit(0), items).count() == 0
     assert [tuple(r)[1:3] for r in d.report(docs((1, "a")), items.limit(0)).collect()] == [(1, 0)]
+
+
+def test_passage_of_very_many_items_is_one_window(spark, docs):
+    stock = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(k, stock if k % 3 else f"item {k} of its own") for k in range(9_000)], "item_id bigint, text string")
+    listed = d.item_windows(items)
+    assert listed.count() == 9_000 and d.distinct_windows(listed).where("size = 10").count() == 1
+    table = docs((1, f"so {stock} it goes"), (2, f"again {stock}"), (3, "clean"), (None, "item 3 of its own"))
+    got = {r.doc_id: r for r in d.report(table, items).collect()}
+    names = ",".join(sorted(str(k) for k in range(9_000) if k % 3))
+    assert all(got[k].items_sha256 == hashlib.sha256(names.encode()).hexdigest() and got[k].n_items == 6_000 for k in (1, 2))
+    assert not got[3].contaminated and (got[None].n_items, got[None].n_hit) == (1, 5)
+
+
+def test_windows_with_one_hash_keep_their_items(spark):
+    rows = [("a", 1, 7, b"x"), ("b", 1, 7, b"y"), ("c", 1, 7, b"y"), ("d", 2, 7, b"x y")]
+    listed = spark.createDataFrame(rows, "item string, size int, key bigint, words binary")
+    windows = d.distinct_windows(listed)
+    assert sorted((r.size, bytes(r.words), r.variant) for r in windows.collect()) == [(1, b"x", 1), (1, b"y", 2), (2, b"x y", 3)]
+    found = spark.createDataFrame([(1, [(7, 2)]), (2, [(7, 1), (7, 3)]), (3, [])], f"doc_id bigint, windows {d.FOUND}")
+    got = {r.doc_id: r["items"] for r in d._with_items(found, listed, windows).collect()}
+    assert got == {1: ["b", "c"], 2: ["a", "d"], 3: []}
