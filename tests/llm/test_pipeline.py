@@ -54,5 +54,5 @@ def test_stages(spark):
 
 def test_everything_is_registered():
     names = __spark_entry__.queries().keys()
-    assert {n.split("_")[0] for n in LLM_QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in LLM_QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert names >= {*LLM_QUERIES, "pipeline"} and LLM_ORACLE.keys() <= LLM_QUERIES.keys()
