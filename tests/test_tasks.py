@@ -67,6 +67,16 @@ def test_progress_counts_repeats_once(spark, results):
     assert {r.client: (r.done, r.complete) for r in some} == {"c1": (1, False), "c2": (0, False)}
 
 
+def test_repeated_lines_are_tasks_of_their_own(spark):
+    pages = spark.createDataFrame([("u", "<p>a"), ("e", "")], "url string, html string")
+    tasks = spark.createDataFrame([("c", "ToText", "u"), ("c", "ToText", "u"), ("c", "ToText", "e"), ("c", "ToText", "e"), ("d", None, "u")], TASKS)
+    converted = convert(tasks, pages)
+    got = {r.client: tuple(r)[1:] for r in client_progress(converted, tasks).collect()}
+    assert got == {"c": (4, 4, 2, True), "d": (1, 1, 1, True)}
+    late = converted.where("url = 'u'").limit(1).unionByName(converted.where("url = 'e'"))
+    assert tuple(client_progress(late, tasks).where("client = 'c'").first())[1:] == (4, 3, 2, False)
+
+
 def test_report_is_one_page_per_client(results, tmp_path):
     write_reports(report_lines(results[1]), str(tmp_path / "out"))
     parts = sorted((tmp_path / "out" / "client=c1").glob("part-*"))
