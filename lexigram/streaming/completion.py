@@ -39,9 +39,9 @@ class Follower(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         done, total, timer, status = self.known.get() if self.known.exists() else (0, -1, -1, OPEN)
-        last = timer - self.idle
+        last = timer + 1 - self.idle
         for part in rows:
-            done += int((~part["is_control"]).sum())
+            done += int(part["is_new"].sum())
             announced = part["total"].max()
             total = total if pd.isna(announced) else max(total, int(announced))
             last = max(last, int(part["at"].max()))
@@ -50,7 +50,7 @@ class Follower(StatefulProcessor):
         if done == total:
             timer, new = -1, COMPLETE
         else:
-            timer, new = last + self.idle, OPEN
+            timer, new = last + self.idle - 1, OPEN  # a timer fires once the watermark is beyond it
             self.handle.registerTimer(timer)
         self.known.update((done, total, timer, new))
         if new == COMPLETE and status != COMPLETE:
@@ -76,7 +76,8 @@ def outcomes(messages: DataFrame, idle_seconds: int, delay: str) -> DataFrame:
     complete has been idle; ``missing`` is null without an announcement.
 
     A client that goes on after its flush is followed further: it can end as complete, or be flushed again. Repeated records
-    count once. Records without a time say nothing of their arrival and are left out, as are those later than ``delay``.
+    count once, but each of them, and each record of an open task, is a sign of life: it is the last one that the hour counts from.
+    Records without a time say nothing of their arrival and are left out, as are those later than ``delay``.
     """
     with_state_store(messages.sparkSession)
     rows = decoded(messages.withWatermark("ts", delay)).where(F.col("reason").isNull() & F.col("ts").isNotNull())
@@ -90,6 +91,8 @@ def outcomes(messages: DataFrame, idle_seconds: int, delay: str) -> DataFrame:
         F.unix_millis("ts").alias("at"),
     )
     once = finished.dropDuplicates(["client", "is_control", "task"])
-    return once.groupBy("client").transformWithStateInPandas(
+    told = once.select("client", (~F.col("is_control")).alias("is_new"), "total", "ts", "at")
+    alive = rows.select("client", F.lit(False).alias("is_new"), F.lit(None).cast("bigint").alias("total"), "ts", F.unix_millis("ts").alias("at"))
+    return told.unionByName(alive).groupBy("client").transformWithStateInPandas(
         statefulProcessor=Follower(1000 * idle_seconds), outputStructType=OUTCOME, outputMode="Append", timeMode="EventTime"
     )

@@ -147,3 +147,15 @@ def test_outcomes_by_timer(spark, queue, tmp_path):
     assert [r for r in rows if r[0] == "a"] == [("a", "complete", 2, 0)]
     queue((400, "e", done("t1")))
     assert ("d", "unresolved", 1, None) in {tuple(r) for r in run().collect()}
+
+
+def test_a_repeat_is_a_sign_of_life(spark, queue, tmp_path):
+    """Whichever delivery of a task is kept, the last one starts the hour; a client idle for just that long is flushed."""
+    sent = [(2 + late, c, done("t1")) for c, lates in (("a", (0, 30)), ("b", (30, 0)), ("c", (29, 0))) for late in lates]
+    path = queue((1, "a", "UPLOAD DONE-2"), *sent, (5, "o", done("t1")), (32, "o", "ToText\tt2\t"), (101, "z", done("t1")))
+    rows = completion.outcomes(stream.read_messages(spark, path), 60, "10 seconds")
+    got = stream.run_append(rows, str(tmp_path / "out"), str(tmp_path / "state")).collect()
+    assert sorted(tuple(r) for r in got) == [("c", "unresolved", 1, None)]
+    queue((102, "z", done("t2")))
+    got = stream.run_append(rows, str(tmp_path / "out"), str(tmp_path / "state")).collect()
+    assert sorted(r.client for r in got) == ["a", "b", "c", "o"]
