@@ -1,6 +1,7 @@
 """What the physical plans look like, and results when one key holds a third of all rows."""
 
 import re
+import time
 from collections import Counter
 from contextlib import contextmanager
 
@@ -163,3 +164,24 @@ def test_hot_prefix_and_hot_word(spark):
         ordered = [r.w3 for r in next_word.ranked(table).where("w1 = 'of'").collect()]
         assert len(ordered) == 20_000 and ordered[:3] == ["w10004", "w10009", "w10014"]
     assert ct.unigram_totals(ct.pair_roles(table)).where("word = 'the'").first()["n"] == uni["the"]
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getPath() for i in range(files.length()) if files.apply(i).getName().endswith(".data")}
+
+
+def test_a_written_step_leaves_no_shuffle(spark):
+    before = _shuffle_files(spark)
+    table = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sevenths")
+    until = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before and table.count() == 7
+
+
+def test_steps_give_the_same_statistics(spark, trigrams):
+    table = trigrams({"a b c": 4, "b c a": 1, "a b a": 2, "b a b": 3, "c c c": 1})
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(next_word.stats_in_steps(table)) == rows(nw.trigram_stats(table))
+    assert rows(next_word.probabilities_in_steps(table)) == rows(next_word.probabilities(table))
