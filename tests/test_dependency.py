@@ -110,3 +110,20 @@ def test_words_that_share_a_stem_fall_together(lines):
     assert [tuple(r) for r in co.pair_totals(co.cooccurrence(parsed, stem=True)).collect()] == [("cat", "run-d", 5)]
     assert co.pair_totals(co.cooccurrence(parsed)).count() == 2
     assert sorted(tuple(r) for r in co.features(parsed, stem=True).collect()) == [("cat", "run-d", 2), ("cat", "run-d", 3)]
+
+
+def test_sums_need_no_counts(lines, counts):
+    rows = co.contributions(dep.parse_dependency_lines(lines(*LINES)), stem=True)
+    assert co.corpus_totals(rows).first() == co.corpus_totals(counts).first()
+    assert sorted(co.feature_totals(rows).collect()) == sorted(co.feature_totals(counts).collect())
+    plan = co.corpus_totals(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+
+
+def test_other_lexemes_are_counted_together(spark, lines, counts):
+    vocabulary = spark.createDataFrame([("hous",), ("none",), ("hous",)], "lexeme string")
+    cut = co.cooccurrence(dep.parse_dependency_lines(lines(*LINES)), stem=True, vocabulary=vocabulary)
+    assert {r.lexeme for r in cut.collect()} == {"hous", None}
+    assert co.corpus_totals(cut).first() == co.corpus_totals(counts).first()
+    listed = vocabulary.distinct()
+    assert sorted(co.associations(cut, listed).collect()) == sorted(co.associations(counts, listed).collect())
