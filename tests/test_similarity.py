@@ -126,3 +126,14 @@ def test_missing_label_is_null(spark):
     matrix = spark.createDataFrame([("a", "b", 1.0), ("c", "d", 2.0)], "w1 string, w2 string, c1 double")
     gold = spark.createDataFrame([("a", "b", "1")], "w1 string, w2 string, label string")
     assert {r.w1: r.result for r in sim.labelled(matrix, gold).collect()} == {"a": "1", "c": None}
+
+
+def test_cells_are_formed_where_the_vectors_lie(spark, vectors):
+    rows = [(w, f, *map(float, v)) for w, fs in vectors.items() for f, v in fs.items()]
+    table = spark.createDataFrame(rows, VECTORS)
+    pairs = spark.createDataFrame(PAIRS, "w1 string, w2 string")
+    plain = sim.pair_vectors(sim.pair_features(table, pairs))
+    dealt = sim.pair_vectors(sim.pair_features(table.repartition("feature"), F.broadcast(pairs)))
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
