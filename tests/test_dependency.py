@@ -1,9 +1,11 @@
 """Dependency lines against a brute-force reading of them."""
 
 import math
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexigram.operators import cooccurrence as co
 from lexigram.sources import dependency as dep
@@ -127,3 +129,24 @@ def test_other_lexemes_are_counted_together(spark, lines, counts):
     assert co.corpus_totals(cut).first() == co.corpus_totals(counts).first()
     listed = vocabulary.distinct()
     assert sorted(co.associations(cut, listed).collect()) == sorted(co.associations(counts, listed).collect())
+
+
+def test_head_index_is_what_a_cast_takes(spark):
+    texts = ["2", " 2", "2 ", "\t2", "+2", "-2", "\x002", "2\x7f", "  +2  ", "2.5", "2.", "1e3", "２", "2x", "x", "2147483647", "2147483648", "", "--2", "+ 2", "\x852", "٣", "2\n"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r for r in rows.select("t", dep._index(F.col("t")).alias("got"), F.col("t").try_cast("int").alias("want")).collect() if r.got != r.want] == []
+
+
+def test_bad_head_indexes_cost_no_exceptions(spark):
+    def seconds(head):
+        arcs = " ".join(f"w{i}/X/d/{head}" for i in range(60))
+        rows = spark.range(0, 8000, 1, 8).select(F.concat(F.lit(f"a\t{arcs}\t"), F.col("id").cast("string")).alias("value"))
+        took = []
+        for _ in range(4):
+            start = time.time()
+            dep.parse_dependency_lines(rows).write.format("noop").mode("overwrite").save()
+            took.append(time.time() - start)
+        return min(took)
+
+    seconds("2")  # compiles the code
+    assert seconds("x") < 2 * seconds("2")
