@@ -86,3 +86,9 @@ def test_ranks_of_next_words(trigrams):
 
     rows = with_rank(next_word.probabilities(table)).collect()
     assert {(r.w1, r.w3): r["rank"] for r in rows} == {("a", "d"): 1, ("a", "c"): 2, ("a", "e"): 3, ("x", "z"): 1}
+
+
+def test_unseen_words_are_not_ranked_again_per_prefix(trigrams):
+    table = trigrams({"a b c": 4, "b c a": 1, "a b a": 2, "b a b": 3, "c c c": 1})
+    plan = unseen_top_k(table, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" not in plan and "Union" not in plan
