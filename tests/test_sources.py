@@ -146,3 +146,18 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
         scratch_dir(Session, "x")
     Session.sparkContext.master = "local[4]"
     assert scratch_dir(Session, "x").startswith("file:/x/spark-warehouse/scratch/x-")
+
+
+def test_ngram_lines_are_counted_as_one_string(spark, sf_dir):
+    from lexigram.plans import stand_ins
+
+    plan = stand_ins.ngram_lines(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [key#" in plan and plan.count("Aggregate [") == 1
+
+
+def test_rendered_lines_read_back(spark):
+    rows = [("a", "b", "c", 1999, 3), ("a", "b", None, 2000, 1)]
+    table = spark.createDataFrame(rows, "w1 string, w2 string, w3 string, year int, n bigint")
+    lines = ngrams.render_ngram_lines(table, ("w1", "w2", "w3"), "year", "n")
+    assert {r.value for r in lines.collect()} == {"a b c\t1999\t3", "a b\t2000\t1"}
+    assert [tuple(r) for r in ngrams.parse_ngram_lines(lines).collect()] == [("a", "b", "c", 1999, 3)]
