@@ -15,6 +15,7 @@ from lexigram.operators.similarity import _with_norms
 from lexigram.plans import next_word
 from lexigram.plans.registry import QUERIES
 from lexigram.session import apply_settings, broadcast_if_small, scratch_dir, spread, stored
+from lexigram.sources.text import counted_grams, ngram_occurrences, trigram_words, trigrams_from_text
 
 #: Queries whose result is one plan over the tables; the others read back what a stream or a sink has written.
 WRITTEN = {"rejected_messages", "sequence_file_counts", "labelled_csv"}
@@ -185,3 +186,23 @@ def test_steps_give_the_same_statistics(spark, trigrams):
     rows = lambda df: sorted(map(tuple, df.collect()))
     assert rows(next_word.stats_in_steps(table)) == rows(nw.trigram_stats(table))
     assert rows(next_word.probabilities_in_steps(table)) == rows(next_word.probabilities(table))
+
+
+def test_trigram_words_count_each_place(spark):
+    docs = spark.createDataFrame([("a b a c",), ("the",), ("x y",), ("",), (None,), ("a b c",)], "text string")
+    counted = ct.unigram_totals(ct.pair_roles(trigrams_from_text(docs)))
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(trigram_words(docs)) == rows(counted) == [("a", 4), ("b", 3), ("c", 2)]
+
+
+def test_counted_grams_equal_counted_trigrams(spark):
+    docs = spark.createDataFrame([("a b a b a",), ("b a b",), ("été über naïve",)], "text string")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(counted_grams(ngram_occurrences(docs, 3))) == rows(trigrams_from_text(docs))
+
+
+@pytest.mark.parametrize("name", ["stopword_filter", "stopword_filter_from_file"])
+def test_stopwords_are_dropped_before_the_count(spark, sf_dir, name):
+    text = final_plan(QUERIES[name](spark, sf_dir))
+    assert not re.search(r"hashpartitioning\(w[123]#", text) and "hashpartitioning(gram#" in text
+    assert re.search(r"BroadcastHashJoin.*Generate inline\(arrays_zip", text, re.S)
