@@ -2,7 +2,8 @@
 
 from lexigram.operators.next_word import trigram_stats
 from lexigram.plans import next_word
-from lexigram.plans.layout import write_layout
+from lexigram.plans.layout import write_layout, write_text_layout
+from lexigram.sources.text import trigrams_from_text
 
 
 def test_same_model_without_a_shuffle(spark, trigrams):
@@ -19,3 +20,18 @@ def test_same_model_without_a_shuffle(spark, trigrams):
     assert len(buckets) > 1
     layout.drop(spark)
     assert not spark.catalog.tableExists(layout.trigrams)
+
+
+def test_only_hot_pairs_are_copied(spark):
+    seldom = " ".join(f"r{i} s{i}" for i in range(1500)).translate(str.maketrans("0123456789", "abcdefghij"))
+    docs = spark.createDataFrame([("of the end " * 500 + seldom,), (seldom,)], "text string")
+    layout = write_text_layout(docs, buckets=4)
+    counted = trigrams_from_text(docs)
+    order = lambda rows: sorted(map(tuple, rows.collect()))
+    stats = layout.stats(spark)
+    assert order(stats) == order(trigram_stats(counted).select(*stats.columns))
+    copies = {(r.w2, r.w3): r["count"] for r in spark.table(layout.pairs).groupBy("w2", "w3").count().collect()}
+    assert copies["of", "the"] == 4 and copies["rh", "sh"] == 1
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    layout.drop(spark)
