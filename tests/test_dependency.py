@@ -150,3 +150,18 @@ def test_bad_head_indexes_cost_no_exceptions(spark):
 
     seconds("2")  # compiles the code
     assert seconds("x") < 2 * seconds("2")
+
+
+def test_letters_are_told_without_the_pattern(spark):
+    texts = ["a", "z", "A", "Z", "{", "[", "@", "`", "é", "Ж", "中", "1", "", ",", None, "zebra", "Ünder", "́a", "_a"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select("t", dep._starts_with_letter(F.col("t")).alias("got"), F.col("t").rlike(dep.STARTS_WITH_LETTER).alias("want"))
+    assert [r for r in got.collect() if r.got != r.want] == []
+
+
+def test_arcs_are_looked_through_for_roots_and_bad_indexes_in_one_pass(lines):
+    parsed = dep.parse_dependency_lines(lines(*LINES))
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "exists(" not in plan and plan.count("transform(") == 3
+    rows = co.contributions(parsed)._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.count("transform(") == 3  # what hangs on the root is not written anew

@@ -137,3 +137,31 @@ def test_cells_are_formed_where_the_vectors_lie(spark, vectors):
     assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
     plan = dealt._jdf.queryExecution().executedPlan().toString()
     assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_lines_are_parsed_once(spark, lines):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def met(line):
+        seen.add(1)
+        return line
+
+    pairs = stored(gold_pairs(lines("cat\thous\t1", "cat\tcat\t0"), stem=False), "gold")
+    text = lines(*LINES).select(met("value").alias("value"))
+    got = similarity.gold_vectors(text, pairs, stem=False)
+    assert {r.lexeme for r in got.collect()} == {"cat"} and seen.value == len(LINES)
+
+
+def test_vectors_are_dealt_by_the_rows_that_pairs_make_of_them(spark, monkeypatch):
+    vectors = stored(spark.range(60).select(F.lit("hub").alias("lexeme"), F.col("id").cast("string").alias("feature"), *[F.rand(1).alias(a) for a in sim.VALUES]), "vectors")
+    pairs = spark.range(40).select(F.lit("hub").alias("w1"), F.concat(F.lit("w"), "id").alias("w2"))
+    whole = sim.pair_vectors(sim.pair_features(vectors, F.broadcast(pairs)))
+    monkeypatch.setattr(sim, "CELLS", 100)
+    dealt = sim.dealt_by_feature(vectors, pairs)
+    assert dealt.rdd.getNumPartitions() == 25  # 60 features in 40 pairs
+    cells = sim.pair_vectors(sim.pair_features(dealt, F.broadcast(pairs)))
+    assert sorted(cells.collect()) == sorted(whole.collect())
+    assert max(r.n for r in cells.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()) <= 400
+    plan = cells._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
