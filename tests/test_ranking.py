@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from lexigram.operators import next_word as next_word_operators
 from lexigram.operators.next_word import unseen_top_k
 from lexigram.operators.ranking import first_free, numbered
 from lexigram.plans import next_word
@@ -92,3 +93,22 @@ def test_unseen_words_are_not_ranked_again_per_prefix(trigrams):
     table = trigrams({"a b c": 4, "b c a": 1, "a b a": 2, "b a b": 3, "c c c": 1})
     plan = unseen_top_k(table, 2)._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" not in plan and "Union" not in plan
+
+
+@pytest.mark.parametrize("bits", [4, 6, 62])
+def test_places_beyond_the_bits_are_found_too(spark, trigrams, monkeypatch, bits):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(14)]
+    counts = defaultdict(int)
+    for _ in range(500):
+        counts[" ".join(rng.choices(words, range(14, 0, -1), k=3))] += 1
+    want = sorted(unseen_top_k(trigrams(counts), 3).collect())
+    table = spark.createDataFrame([(*g.split(), 1) for g, n in counts.items() for _ in range(n)], "w1 string, w2 string, w3 string, n bigint")
+    monkeypatch.setattr(next_word_operators, "BITS", bits)
+    assert sorted(unseen_top_k(table, 3).collect()) == want  # and trigrams that were not counted
+
+
+def test_prefixes_bring_one_row_to_their_list(trigrams):
+    table = trigrams({"a b c": 4, "b c a": 1, "a b a": 2, "b a b": 3, "c c c": 1})
+    plan = unseen_top_k(table, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("posexplode") < plan.index("Join")  # places are taken apart after the join
