@@ -81,5 +81,5 @@ def write_layout(trigrams: DataFrame, buckets: int = BUCKETS, salts: int = SALTS
 
 def write_text_layout(docs: DataFrame, buckets: int = BUCKETS, salts: int = SALTS) -> Layout:
     """Lay out the trigrams of a text. They are shuffled twice: as sightings, and counted, into their buckets."""
-    grams, context, hot = grams_and_context(docs)
+    grams, context, hot, _ = grams_and_context(docs)
     return _lay_out(grams, context, hot, buckets, salts)
