@@ -3,7 +3,8 @@ from pathlib import Path
 
 import pytest
 
-from lexigram.operators.counts import trigram_totals
+from lexigram.operators.counts import parsed_trigram_totals, trigram_totals
+from lexigram.plans.registry import QUERIES
 from lexigram.session import scratch_dir
 from lexigram.sources import lists, ngrams, sinks
 from lexigram.sources.dependency import parse_dependency_lines
@@ -161,3 +162,34 @@ def test_rendered_lines_read_back(spark):
     lines = ngrams.render_ngram_lines(table, ("w1", "w2", "w3"), "year", "n")
     assert {r.value for r in lines.collect()} == {"a b c\t1999\t3", "a b\t2000\t1"}
     assert [tuple(r) for r in ngrams.parse_ngram_lines(lines).collect()] == [("a", "b", "c", 1999, 3)]
+
+
+def test_parsed_trigrams_are_counted_as_one_string(spark, lines, sf_dir):
+    text = ("a b c\t1990\t3", "a b c\t1991\t4", "a  c\t1990\t1", " b c d\t1990\t2", "x y z\t1990\t0", "x y z\t1991\t-1", "p q r s\t1990\t5", "bad", "a b c\t1990\tx")
+    parsed = ngrams.parse_ngram_lines(lines(*text))
+    assert sorted(parsed_trigram_totals(parsed).collect()) == sorted(trigram_totals(parsed).collect())
+    plan = QUERIES["trigram_counts"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [gram#" in plan and "Aggregate [w1#" not in plan
+
+
+def test_texts_of_sequence_files_are_packed(spark, lines, tmp_path):
+    ngrams.write_sequence_file(lines("a b c\t1990\t3", "d e f\t1990\t4"), str(tmp_path / "seq"))
+    back = ngrams.read_sequence_file(spark, str(tmp_path / "seq"))
+    assert sorted(r.value for r in back.collect()) == ["a b c\t1990\t3", "d e f\t1990\t4"]
+    assert all(f.endswith(".gz") for f in back.inputFiles())
+
+
+@pytest.mark.parametrize("query", ["rejected_rows", "dep_irregular_totals"])
+def test_lines_are_made_of_trigrams_counted_as_one_string(spark, sf_dir, query):
+    plan = QUERIES[query](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [gram#" in plan and "Aggregate [w1#" not in plan
+
+
+def test_the_store_counts_what_was_not_counted(spark, sf_dir, monkeypatch):
+    from lexigram.sources.count_store import CountStore
+
+    given, merge = [], CountStore.merge
+    monkeypatch.setattr(CountStore, "merge", lambda store, counts: given.append(counts) or merge(store, counts))
+    got = QUERIES["trigram_counts_merged"](spark, sf_dir)
+    assert got.count() == got.select("w1", "w2", "w3").distinct().count() == QUERIES["trigram_from_text"](spark, sf_dir).count()
+    assert all("Aggregate" not in g._jdf.queryExecution().optimizedPlan().toString() for g in given)
