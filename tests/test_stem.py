@@ -1,6 +1,9 @@
 
+import pytest
+
 from lexigram.functions.stem import stem_columns
-from lexigram.operators.stemming import stem_vocabulary, stemmed_counts
+from lexigram.operators import stemming
+from lexigram.operators.stemming import stem_vocabulary, stemmed_counts, with_stems
 
 # Published examples of the Porter algorithm and words that probe its edges: word -> stem.
 STEMS = {
@@ -42,3 +45,15 @@ def test_several_columns_at_once(spark):
 def test_counts_roll_up(spark):
     words = spark.createDataFrame([("connected", 2), ("connecting", 3), ("it", 1)], "word string, n bigint")
     assert {r.stem: r.n for r in stemmed_counts(words).collect()} == {"connect": 5, "it": 1}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_only_words_that_differ_from_their_stem_are_joined(spark, monkeypatch, small):
+    kept, store = [], stemming.stored
+    monkeypatch.setattr(stemming, "stored", lambda df, purpose: kept.append(store(df, purpose)) or kept[-1])
+    if not small:
+        monkeypatch.setattr(stemming, "broadcast_if_small", lambda df: df)
+    rows = spark.createDataFrame([("cats", "running", 1), ("is", "cats", 2), ("sky", None, 3), ("it", "is", 4)], "a string, b string, n int")
+    got = sorted(tuple(r) for r in with_stems(rows, "a", "b").select("a", "b", "n").collect())
+    assert got == [("cat", "run", 1), ("is", "cat", 2), ("it", "is", 4)]
+    assert {r.word for r in kept[0].collect()} == {"cats", "running"}
